@@ -1,0 +1,93 @@
+"""Ingest clients with their products: clean, look up, join, route, hash, write."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from conform.functions import value_map
+from conform.operators import clean_headers, equi_join, hash_and_drop
+from conform.sinks import write_partitioned
+from conform.sources import read_delimited
+
+# Column names, codes and texts of the input and output files.
+CLIENT_SCHEMA = (
+    "`ID_CLIENTE` int, `TIPO_ID` int, `NOMBRE CLIENTE` string, `CORREO ELECTRONICO` string, "
+    "`CIUDAD` string, `NUMERO CUENTA` int, `FECHA ACTIVACION` string, `ID_PROUCTO` int"
+)
+PRODUCT_SCHEMA = (
+    "`ID_PRODUCTO` int, `NOMBRE_PRODUCTO` string, `FECHA_CREACION` string, `ESTADO` int"
+)
+CODE_SCHEMA = "`TIPO_ID` int, `VALOR` string"
+STATUS_TEXT = {1: "Activo", 0: "Inactivo"}
+OTHER_STATUS = "Unknown"
+DOCUMENT_TEXT = {
+    1: "Cedula de Ciudadania",
+    2: "Cedula de Extrangeria",
+    3: "Pasaporte",
+    4: "Tarjeta de Identidad",
+}
+ROUTE = """
+    case when ESTADO = 0 then 'Maestro'
+         when ESTADO = 1 then 'Transaccion'
+         else 'N/A' end
+"""
+ROUTE_COLUMN = "SCHEMA"
+HASH_COLUMN = "SHA-256"
+
+
+def document_types(codes: DataFrame) -> DataFrame:
+    """The identity document codes under clear names, with a description."""
+    return codes.withColumnsRenamed(
+        {"VALOR": "TIPO_IDENTIFICACION", "TIPO_ID": "ID_TIPO"}
+    ).withColumn("DESCRIPCION", value_map(F.col("ID_TIPO"), DOCUMENT_TEXT))
+
+
+def described_products(products: DataFrame) -> DataFrame:
+    return products.withColumn(
+        "DESC_ESTADO", value_map(F.col("ESTADO"), STATUS_TEXT, OTHER_STATUS)
+    )
+
+
+def client_product(clients: DataFrame, codes: DataFrame, products: DataFrame) -> DataFrame:
+    """One row per client and product, routed, the identity hashed.
+
+    A client without a known document type or product is left out.
+    """
+    typed = equi_join(
+        clean_headers(clients), document_types(codes), [("TIPO_ID", "ID_TIPO")]
+    ).select(
+        "ID_CLIENTE",
+        "TIPO_IDENTIFICACION",
+        F.col("NOMBRE_CLIENTE").alias("NOMBRE"),
+        F.col("CORREO_ELECTRONICO").alias("EMAIL"),
+        "CIUDAD",
+        "NUMERO_CUENTA",
+        "FECHA_ACTIVACION",
+        "ID_PROUCTO",
+    )
+    joined = equi_join(typed, described_products(products), [("ID_PROUCTO", "ID_PRODUCTO")])
+    return joined.withColumn(ROUTE_COLUMN, F.expr(ROUTE)).transform(
+        hash_and_drop,
+        ["TIPO_IDENTIFICACION", "ID_CLIENTE"],
+        HASH_COLUMN,
+        drop=["ID_CLIENTE", "TIPO_IDENTIFICACION", "ID_PROUCTO", "ID_PRODUCTO"],
+    )
+
+
+def ingest(
+    spark: SparkSession, clients: str, codes: str, products: str, output: str
+) -> int:
+    """Read the three kinds of files and write the result, partitioned by route.
+
+    Returns the rows written. ``clients`` may be a glob.
+    """
+    return write_partitioned(
+        client_product(
+            read_delimited(spark, clients, "|", CLIENT_SCHEMA),
+            read_delimited(spark, codes, ";", CODE_SCHEMA),
+            read_delimited(spark, products, ";", PRODUCT_SCHEMA),
+        ),
+        output,
+        [ROUTE_COLUMN],
+    )

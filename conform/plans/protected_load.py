@@ -1,0 +1,113 @@
+"""Load a catalog table: standardise, protect, keep the vault, write, audit."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from conform.functions import cipher_key
+from conform.operators import protect, rules_for, standardise, vault_delta
+from conform.operators.protect import VAULT_SCHEMA
+from conform.plans.audit import AuditRun
+from conform.sinks import EmptyWriteError, insert, save, update_flag
+from conform.sources import read_table, read_table_or_empty
+
+
+@dataclass(frozen=True)
+class LoadResult:
+    """The rows read, the rows written, and the keys added to the vault."""
+
+    rows_read: int
+    rows_loaded: int
+    keys_added: int
+
+
+def standardise_columns(
+    df: DataFrame,
+    rules: DataFrame,
+    table: str,
+    columns: Sequence[str],
+    by_column: bool = False,
+) -> DataFrame:
+    """Standardise several columns by the rules of one table.
+
+    ``by_column`` keeps each column to the rules that name it; otherwise all
+    rules of the table apply to all of the columns.
+    """
+    for column in columns:
+        chosen = rules_for(rules, table, column if by_column else None)
+        df = standardise(df, chosen, column)
+    return df
+
+
+def protected_load(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    target_location: str,
+    vault: str,
+    vault_location: str,
+    rules: DataFrame,
+    standard_columns: Sequence[str],
+    groups: Sequence[Sequence[str]],
+    key: str | bytes,
+    condition: Column | str | None = None,
+    rules_name: str | None = None,
+    by_column: bool = False,
+    flag_location: str | None = None,
+    audit_table: str | None = None,
+) -> LoadResult:
+    """Load the rows of ``source`` that meet ``condition`` into ``target``.
+
+    ``standard_columns`` are replaced by their codes, under the rules for
+    ``rules_name`` (the source's own name if not given), the columns of ``groups``
+    by hashes; keys not in the vault yet are added to it, encrypted. With a
+    ``flag_location`` the source rows are flagged as loaded, see `update_flag`.
+    With an ``audit_table`` the run is recorded there.
+
+    The vault is written first: if a later step fails, a second run finds its
+    keys there and adds none twice. The writes are not one transaction, so a
+    target and its vault must have one writer at a time.
+    """
+    run = AuditRun(spark, source, target, "protected load")
+    try:
+        frame = read_table(spark, source, condition)
+        run.rows_origin = frame.count()
+        named = rules_name or source.rpartition(".")[2]
+        standard = standardise_columns(frame, rules, named, standard_columns, by_column)
+        secret = cipher_key(spark, key)
+        known = read_table_or_empty(spark, vault, VAULT_SCHEMA)
+        added = _append_keys(
+            vault_delta(standard, groups, secret, known), vault, vault_location
+        )
+        if not added:
+            run.info("no new keys", keep=True)
+        loaded = _write(protect(standard, groups, drop=True), target, target_location)
+        run.rows_loaded = loaded
+        if flag_location is not None:
+            update_flag(
+                spark, source, F.lit(True) if condition is None else condition, flag_location
+            )
+    except (PySparkException, ValueError) as failure:
+        raise run.fail(f"could not load {target}: {failure}", audit_table) from failure
+    run.append()
+    if audit_table is not None:
+        run.save(audit_table)
+    return LoadResult(run.rows_origin, loaded, added)
+
+
+def _append_keys(keys: DataFrame, vault: str, location: str) -> int:
+    try:
+        return _write(keys, vault, location)
+    except EmptyWriteError:
+        return 0
+
+
+def _write(df: DataFrame, table: str, location: str) -> int:
+    if df.sparkSession.catalog.tableExists(table):
+        return insert(df, table)
+    return save(df, table, location)
