@@ -8,7 +8,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, NumericType, StringType
+from pyspark.sql.types import NumericType, StringType
 
 from conform.functions import safe_cast
 
@@ -29,6 +29,9 @@ JOIN_KINDS = {
     "anti": "anti",
 }
 
+_COPY = "__copy"
+_COPIES = 16
+
 
 def equi_join(
     left: DataFrame,
@@ -44,12 +47,12 @@ def equi_join(
 
     ``hot`` names the sides on which single keys may hold a large share of the
     rows. At run time Spark splits such keys in an inner join on either side,
-    and in an outer join only on the side whose rows are all kept. Where it
-    could not, the join is made of parts in which it can: the inner join, and
-    the rows without a partner, found against the other side's distinct keys.
-    Each side is then read twice, the second time for its keys alone, so both
-    must give the same rows on every run. Sizes are left to Spark: a side is
-    broadcast only under its own threshold.
+    in an outer join only on the side whose rows are all kept, and in a semi or
+    anti join only on the left. Where it could not, an outer join is made of
+    parts in which it can, a join and the rows without a partner, and a hot side
+    that is only looked up is cut to its distinct keys. Sides are then
+    read more than once, so they must give the same rows each time. Broadcasts
+    are left to Spark, which checks a side's size against its own threshold.
     """
     kind = JOIN_KINDS.get(how.lower().replace("_", ""))
     if kind is None:
@@ -58,23 +61,26 @@ def equi_join(
         raise ValueError(f"hot names sides, not {sorted(unknown)}")
 
     if kind in ("semi", "anti"):
-        keys = _distinct_keys(right, [name for _, name in on]) if "right" in hot else right
-        return _join(left, keys, on, f"left_{kind}")
-    if kind == "inner":
-        return _join(left, right, on, "inner")
-    if kind == "left" and "right" not in hot:
-        return _join(left, right, on, "left")
-    if kind == "right" and "left" not in hot:
-        return _join(left, right, on, "right")
-    if kind == "full" and not hot:
-        return _join(left, right, on, "full")
-
-    parts = [_join(left, right, on, "inner")]
-    if kind in ("left", "full"):
-        lone = _without_partner(left, right, on)
+        return _lookup(left, right, on, kind, "left" in hot, "right" in hot)
+    if kind == "inner" or not hot:
+        return _join(left, right, on, kind)
+
+    # One join keeps the rows of a side whose partners are not hot; what it
+    # does not keep is added.
+    keeps = {"left", "right"} if kind == "full" else {kind}
+    if "left" in keeps and "right" not in hot:
+        base = "left"
+    elif "right" in keeps and "left" not in hot:
+        base = "right"
+    else:
+        base = "inner"
+    parts = [_join(left, right, on, base)]
+    if "left" in keeps and base != "left":
+        lone = _lookup(left, right, on, "anti", "left" in hot, "right" in hot)
         parts.append(lone.select(*_columns(lone), *_nulls(right)))
-    if kind in ("right", "full"):
-        lone = _without_partner(right, left, [(theirs, ours) for ours, theirs in on])
+    if "right" in keeps and base != "right":
+        turned = [(theirs, ours) for ours, theirs in on]
+        lone = _lookup(right, left, turned, "anti", "right" in hot, "left" in hot)
         parts.append(lone.select(*_nulls(left), *_columns(lone)))
     return reduce(DataFrame.unionAll, parts)
 
@@ -90,20 +96,31 @@ def _equal(left: DataFrame, ours: str, right: DataFrame, theirs: str) -> Column:
     a, b = F.col(f"l.`{ours}`"), F.col(f"r.`{theirs}`")
     a_type, b_type = left.schema[ours].dataType, right.schema[theirs].dataType
     if isinstance(a_type, StringType) and isinstance(b_type, NumericType):
-        a = safe_cast(a, b_type, truncate=isinstance(b_type, IntegralType))
+        a = safe_cast(a, a_type, b_type, truncate=True)
     elif isinstance(b_type, StringType) and isinstance(a_type, NumericType):
-        b = safe_cast(b, a_type, truncate=isinstance(a_type, IntegralType))
+        b = safe_cast(b, b_type, a_type, truncate=True)
     return a == b
 
 
-def _without_partner(
-    df: DataFrame, other: DataFrame, on: Sequence[tuple[str, str]]
+def _lookup(
+    df: DataFrame,
+    other: DataFrame,
+    on: Sequence[tuple[str, str]],
+    kind: str,
+    df_hot: bool,
+    other_hot: bool,
 ) -> DataFrame:
-    return _join(df, _distinct_keys(other, [name for _, name in on]), on, "left_anti")
-
-
-def _distinct_keys(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.select(*(F.col(f"`{name}`") for name in names)).distinct()
+    """The rows of ``df`` that have (semi) or lack (anti) a partner."""
+    keys = other.select(*(F.col(f"`{theirs}`") for _, theirs in on))
+    if other_hot and not df_hot:
+        keys = keys.distinct()
+    elif other_hot:
+        # Spark splits a hot key only where both sides come straight from a
+        # shuffle by the keys. Plain distinct would have made that shuffle
+        # already; with a few copies of each key left, it is made for the join.
+        copy = F.spark_partition_id() % _COPIES
+        keys = keys.withColumn(_COPY, copy).distinct().drop(_COPY)
+    return _join(df, keys, on, f"left_{kind}")
 
 
 def _columns(df: DataFrame) -> list[Column]:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from conform.functions import cipher_key, concat_key, encrypt
+from conform.operators.joins import equi_join
 
 HASH = "hashvalue"
 CIPHER = "aesvalue"
@@ -58,8 +59,8 @@ def new_keys(
         F.col(hash_column).alias(HASH), F.col(cipher_column).alias(CIPHER)
     ).where(F.col(HASH).isNotNull())
     if dedup:
-        keys = keys.dropDuplicates([HASH])
-    return keys.join(_vault_hashes(vault), HASH, "left_anti")
+        return _unseen(keys.dropDuplicates([HASH]), vault)
+    return equi_join(keys, vault, [(HASH, HASH)], "anti", hot=("left", "right"))
 
 
 def vault_delta(
@@ -73,18 +74,18 @@ def vault_delta(
     """The vault rows to append: each new key of any group, once.
 
     The table is read once for all groups. Repeats fall together before the
-    shuffle, and only keys that are new are encrypted.
+    shuffle, each key is hashed once, and only keys that are new are encrypted.
     """
     texts = F.array(*(concat_key(group, sep) for group in groups))
     plain = df.select(F.explode(texts).alias("plain")).where(F.col("plain").isNotNull())
-    keys = plain.select(F.sha2("plain", 256).alias(HASH), "plain").dropDuplicates([HASH])
-    unseen = keys.join(_vault_hashes(vault), HASH, "left_anti")
+    keys = plain.distinct().select(F.sha2("plain", 256).alias(HASH), "plain")
+    unseen = _unseen(keys, vault)
     return unseen.select(HASH, encrypt(F.col("plain"), _as_key(df, key), mode).alias(CIPHER))
 
 
-def _vault_hashes(vault: DataFrame) -> DataFrame:
-    # A vault may hold repeats; distinct keeps a hot one from filling a task.
-    return vault.select(HASH).distinct()
+def _unseen(keys: DataFrame, vault: DataFrame) -> DataFrame:
+    # No hash comes twice on either side, so there is no hot key to split.
+    return keys.join(vault.select(HASH).distinct(), HASH, "left_anti")
 
 
 def _as_key(df: DataFrame, key: Column | str | bytes) -> Column:

@@ -93,11 +93,11 @@ def cast_counts(
 
     A value is changed if its text is another after the cast. Nulls are kept.
     """
-    value = F.col(f"`{column}`")
     cast = _cast_or_null(df, column, data_type, truncate)
-    lost = value.isNotNull() & cast.isNull()
-    changed = cast.isNotNull() & (cast.cast("string") != value.cast("string"))
-    return df.agg(
+    both = df.select(F.col(f"`{column}`").alias("value"), cast.alias("cast"))
+    lost = F.col("value").isNotNull() & F.col("cast").isNull()
+    changed = F.col("cast").cast("string") != F.col("value").cast("string")
+    return both.agg(
         F.count_if(~lost & ~F.coalesce(changed, F.lit(False))).alias("kept"),
         F.count_if(changed).alias("changed"),
         F.count_if(lost).alias("lost"),
@@ -107,11 +107,12 @@ def cast_counts(
 def _cast_or_null(
     df: DataFrame, column: str, data_type: DataType | str, truncate: bool
 ) -> Column:
-    cast = safe_cast(F.col(f"`{column}`"), data_type, truncate)
+    if column not in df.columns:
+        raise ValueError(f"there is no column {column}")
+    cast = safe_cast(F.col(f"`{column}`"), df.schema[column].dataType, data_type, truncate)
     try:
         df.select(cast).schema  # noqa: B018 - asks Spark whether the cast exists
     except AnalysisException:
-        df.select(f"`{column}`").schema  # noqa: B018 - a missing column is an error
         return F.lit(None).cast(data_type)
     return cast
 

@@ -1,8 +1,8 @@
 """Whole loads, and the record of their runs."""
 
 from conform.plans.audit import AUDIT_SCHEMA, AuditRun, RunFailed
-from conform.plans.client_product import client_product, ingest
-from conform.plans.protected_load import LoadResult, protected_load
+from conform.plans.clients import client_product, ingest
+from conform.plans.protected import LoadResult, protected_load
 
 __all__ = [
     "AUDIT_SCHEMA",

@@ -7,7 +7,6 @@ import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (
     BooleanType,
@@ -112,7 +111,7 @@ class AuditRun:
                 self.warn(f"the audit table {table} does not exist", keep=True)
                 return False
             insert(self.rows(), table)
-        except (PySparkException, ValueError) as failure:
+        except Exception as failure:  # a failed job is no PySparkException
             self.error(f"could not save the audit rows in {table}: {failure}")
             return False
         return True

@@ -12,11 +12,12 @@ from conform.sources import read_delimited
 
 # Column names, codes and texts of the input and output files.
 CLIENT_SCHEMA = (
-    "`ID_CLIENTE` int, `TIPO_ID` int, `NOMBRE CLIENTE` string, `CORREO ELECTRONICO` string, "
-    "`CIUDAD` string, `NUMERO CUENTA` int, `FECHA ACTIVACION` string, `ID_PROUCTO` int"
+    "`ID_CLIENTE` bigint, `TIPO_ID` int, `NOMBRE CLIENTE` string, "
+    "`CORREO ELECTRONICO` string, `CIUDAD` string, `NUMERO CUENTA` bigint, "
+    "`FECHA ACTIVACION` string, `ID_PROUCTO` bigint"
 )
 PRODUCT_SCHEMA = (
-    "`ID_PRODUCTO` int, `NOMBRE_PRODUCTO` string, `FECHA_CREACION` string, `ESTADO` int"
+    "`ID_PRODUCTO` bigint, `NOMBRE_PRODUCTO` string, `FECHA_CREACION` string, `ESTADO` int"
 )
 CODE_SCHEMA = "`TIPO_ID` int, `VALOR` string"
 STATUS_TEXT = {1: "Activo", 0: "Inactivo"}

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,7 +91,7 @@ def protected_load(
             update_flag(
                 spark, source, F.lit(True) if condition is None else condition, flag_location
             )
-    except (PySparkException, ValueError) as failure:
+    except Exception as failure:  # a failed job is no PySparkException
         raise run.fail(f"could not load {target}: {failure}", audit_table) from failure
     run.append()
     if audit_table is not None:

@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conform.functions import safe_cast
 from conform.queries.registry import query, table
 
 
@@ -89,7 +88,7 @@ def filter_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(F.col("o_orderstatus") == "P", F.substring("o_orderpriority", 1, 1))
     return (
         table(spark, sf_dir, "orders")
-        .select("o_orderkey", safe_cast(text, "int").alias("rank"))
+        .select("o_orderkey", text.try_cast("int").alias("rank"))
         .filter("rank is not null")
     )
 

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conform.functions import concat_key, safe_cast, value_map
+from conform.functions import concat_key, value_map
 from conform.operators import (
     add_column,
     clean_headers,
@@ -153,7 +153,7 @@ def derive_negated(spark: SparkSession, sf_dir: str) -> DataFrame:
     balances = table(spark, sf_dir, "customer").select(
         "c_custkey", F.col("c_acctbal").cast("string").alias("balance")
     )
-    return balances.withColumn("copied", safe_cast(F.col("balance"), "double") * -1)
+    return balances.withColumn("copied", F.col("balance").try_cast("double") * -1)
 
 
 @query("select c_custkey, c_acctbal * 100 as c_acctbal, c_mktsegment from customer")
@@ -174,7 +174,7 @@ def cast_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbers = table(spark, sf_dir, "customer").select(
         "c_custkey", F.get(F.split("c_name", "#"), F.lit(1)).alias("number")
     )
-    return numbers.withColumn("number", safe_cast(F.col("number"), "int"))
+    return numbers.withColumn("number", F.col("number").try_cast("int"))
 
 
 _PERSON_SQL = """

@@ -12,7 +12,7 @@ from conform.operators import (
     standardise_any,
     unmatched_values,
 )
-from conform.plans.protected_load import standardise_columns
+from conform.plans.protected import standardise_columns
 from conform.queries.registry import query, table
 from conform.queries.shared import RULES_SQL, rules_table
 from conform.sources import rows_frame

@@ -27,7 +27,7 @@ _CLIENT_PRODUCT_SQL = """
     with clients as (
         select l_orderkey as id, l_linenumber as kind, 'Client ' || l_suppkey as "NOMBRE",
                'client' || l_suppkey || '@example.com' as "EMAIL", l_returnflag as "CIUDAD",
-               cast(l_orderkey as int) as "NUMERO_CUENTA",
+               l_orderkey as "NUMERO_CUENTA",
                strftime(l_shipdate, '%d/%m/%Y') as "FECHA_ACTIVACION", l_partkey as product
         from lineitem),
     products as (
@@ -53,14 +53,14 @@ _CLIENT_PRODUCT_SQL = """
 def _client_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     supplier = F.col("l_suppkey").cast("string")
     clients = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").cast("int").alias("ID_CLIENTE"),
+        F.col("l_orderkey").alias("ID_CLIENTE"),
         F.col("l_linenumber").alias("TIPO_ID"),
         F.concat(F.lit("Client "), supplier).alias("NOMBRE CLIENTE"),
         F.concat(F.lit("client"), supplier, F.lit("@example.com")).alias("CORREO ELECTRONICO"),
         F.col("l_returnflag").alias("CIUDAD"),
-        F.col("l_orderkey").cast("int").alias("NUMERO CUENTA"),
+        F.col("l_orderkey").alias("NUMERO CUENTA"),
         F.date_format("l_shipdate", "dd/MM/yyyy").alias("FECHA ACTIVACION"),
-        F.col("l_partkey").cast("int").alias("ID_PROUCTO"),
+        F.col("l_partkey").alias("ID_PROUCTO"),
     )
     status = (
         F.when(F.col("p_type").isin("STANDARD", "PROMO"), 1)
@@ -68,7 +68,7 @@ def _client_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
         .otherwise(2)
     )
     products = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("int").alias("ID_PRODUCTO"),
+        F.col("p_partkey").alias("ID_PRODUCTO"),
         F.col("p_name").alias("NOMBRE_PRODUCTO"),
         F.col("p_brand").alias("FECHA_CREACION"),
         status.alias("ESTADO"),
@@ -201,7 +201,7 @@ def audit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                  (2, 'KO', 'no lines to load', 1))
              as v (seq, estado, descripcion, counted),
          lateral (select v.counted * count(*) as "cantidadRegistrosOrigen",
-                         0 as "cantidadRegistrosCargados" from lineitem) as c
+                         cast(0 as bigint) as "cantidadRegistrosCargados" from lineitem) as c
     """
 )
 def audit_refused(spark: SparkSession, sf_dir: str) -> DataFrame:

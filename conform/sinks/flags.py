@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from conform.sinks.counting import clustered, write_counted
 from conform.sinks.tables import partition_columns
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+_LISTED_PARTITIONS = 500
 
 
 def flagged(
@@ -47,15 +48,28 @@ def update_flag(
         )
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
     else:
-        touched = source.where(condition).select(*names).distinct()
-        same = [F.col(f"a.{name}").eqNullSafe(F.col(f"b.{name}")) for name in names]
-        affected = source.alias("a").join(touched.alias("b"), reduce(and_, same), "left_semi")
+        affected = _affected(source, condition, names)
         updated = clustered(flagged(affected, condition, flag, value), names)
         rows = write_counted(updated, lambda out: _replace_partitions(spark, out, table))
     spark.catalog.refreshTable(table)
     return rows
 
 
+def _affected(source: DataFrame, condition: Column | str, names: list[str]) -> DataFrame:
+    """The partitions that have rows which meet the condition, whole."""
+    touched = source.where(condition).select(*names).distinct()
+    values = touched.take(_LISTED_PARTITIONS + 1)
+    if len(values) <= _LISTED_PARTITIONS:
+        # Named in a filter they are pruned from the scan, without a join.
+        listed = [
+            reduce(and_, (F.col(name).eqNullSafe(F.lit(row[name])) for name in names))
+            for row in values
+        ]
+        return source.where(reduce(or_, listed, F.lit(False)))
+    same = [F.col(f"a.{name}").eqNullSafe(F.col(f"b.{name}")) for name in names]
+    return source.alias("a").join(touched.alias("b"), reduce(and_, same), "left_semi")
+
+
 def _replace_partitions(spark: SparkSession, df: DataFrame, table: str) -> None:
     before = spark.conf.get(_OVERWRITE_MODE)
     spark.conf.set(_OVERWRITE_MODE, "dynamic")
