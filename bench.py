@@ -1,7 +1,8 @@
-"""Time every registered query and print one JSON line.
+"""Time the headline queries and print one JSON line.
 
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the cores, ``BENCH_RUNS`` the
-timed runs after a warm-up, and ``BENCH_QUERIES`` a comma list to run only some.
+timed runs after a warm-up, and ``BENCH_QUERIES`` the queries: a comma list, or
+``all`` for every registered one.
 """
 
 from __future__ import annotations
@@ -17,6 +18,49 @@ from pyspark.sql import SparkSession
 
 from conform.queries import QUERIES
 
+HEADLINES = [
+    "scan_delimited_glob",
+    "scan_table_where",
+    "clean_headers",
+    "add_column",
+    "case_sql_route",
+    "concat_key",
+    "split_to_columns",
+    "map_partitions",
+    "filter_and",
+    "filter_array_contains",
+    "row_count",
+    "distinct_rows",
+    "join_inner",
+    "join_left",
+    "join_right",
+    "join_full",
+    "join_semi",
+    "join_anti",
+    "join_self",
+    "join_sql_comma",
+    "homologate",
+    "homologate_multi",
+    "cast_checked",
+    "cast_lost_rows",
+    "cast_counts",
+    "hash_key",
+    "hash_tuples",
+    "encrypt_roundtrip",
+    "new_keys",
+    "vault_delta",
+    "sink_partitioned_parquet",
+    "sink_save_table",
+    "sink_insert_reordered",
+    "sink_dynamic_partition",
+    "flag_update",
+    "flag_update_partitions",
+    "client_product",
+    "client_product_ingest",
+    "protected_load",
+    "audit_rows",
+]
+
 
 def session(cpus: str) -> SparkSession:
     builder = (
@@ -42,8 +86,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    chosen = os.environ.get("BENCH_QUERIES")
-    names = chosen.split(",") if chosen else sorted(QUERIES)
+    chosen = os.environ.get("BENCH_QUERIES", "")
+    names = sorted(QUERIES) if chosen == "all" else chosen.split(",") if chosen else HEADLINES
 
     spark = session(cpus)
     seconds = {}

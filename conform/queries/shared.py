@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,35 +25,42 @@ SEGMENT_CODES_SQL = (
 # A key for trying the cipher. Real keys come from a secret store.
 TRIAL_KEY = "0123456789abcdef"
 
-# Rules as rows of data, one for each customer, order and part: repeats and
-# other tables' rules are what a lookup has to sort out.
+# A rules table made from the values in the tables. Customers' rules stand in it
+# for two columns, and other tables' rules beside them, for a lookup to sort out.
 RULES_SQL = """
-    select substr(c_mktsegment, 1, 2) as codigo_id, c_mktsegment as homologacion,
-           'CUSTOMER' as tabla, 'c_mktsegment' as columna
-    from customer where c_mktsegment <> 'AUTOMOBILE'
+    select distinct substr(c_mktsegment, 1, 2) as codigo_id, c_mktsegment as homologacion,
+                    'CUSTOMER' as tabla, columna
+    from customer cross join (values ('c_mktsegment'), ('segment')) as c (columna)
+    where c_mktsegment <> 'AUTOMOBILE'
     union all
-    select substr(o_orderpriority, 1, 1), o_orderpriority, 'ORDERS', 'o_orderpriority'
+    select distinct substr(o_orderpriority, 1, 1), o_orderpriority, 'ORDERS', 'o_orderpriority'
     from orders
     union all
-    select lower(o_orderstatus), o_orderstatus, 'ORDERS', 'o_orderstatus' from orders
+    select distinct lower(o_orderstatus), o_orderstatus, 'ORDERS', 'o_orderstatus' from orders
     union all
-    select substr(p_type, 1, 3), p_type, 'PART', 'p_type' from part
+    select distinct substr(p_type, 1, 3), p_type, 'PART', 'p_type' from part
 """
 
 
 def rules_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules as a catalog table, whose size Spark knows when it plans a join."""
     customer = table(spark, sf_dir, "customer")
     orders = table(spark, sf_dir, "orders")
     part = table(spark, sf_dir, "part")
-    coded = customer.where(F.col("c_mktsegment") != "AUTOMOBILE")
-    return (
-        _rules(coded, "customer", "c_mktsegment", F.substring("c_mktsegment", 1, 2))
-        .unionByName(
-            _rules(orders, "orders", "o_orderpriority", F.substring("o_orderpriority", 1, 1))
-        )
-        .unionByName(_rules(orders, "orders", "o_orderstatus", F.lower("o_orderstatus")))
-        .unionByName(_rules(part, "part", "p_type", F.substring("p_type", 1, 3)))
+    segments = _rules(
+        customer.where(F.col("c_mktsegment") != "AUTOMOBILE"),
+        "customer",
+        "c_mktsegment",
+        F.substring("c_mktsegment", 1, 2),
     )
+    rules = [
+        segments,
+        segments.withColumn("columna", F.lit("segment")),
+        _rules(orders, "orders", "o_orderpriority", F.substring("o_orderpriority", 1, 1)),
+        _rules(orders, "orders", "o_orderstatus", F.lower("o_orderstatus")),
+        _rules(part, "part", "p_type", F.substring("p_type", 1, 3)),
+    ]
+    return spark.table(catalog_table(spark, reduce(DataFrame.unionByName, rules), "rules"))
 
 
 def _rules(df: DataFrame, name: str, column: str, code: Column) -> DataFrame:
@@ -60,7 +69,7 @@ def _rules(df: DataFrame, name: str, column: str, code: Column) -> DataFrame:
         F.col(column).alias("homologacion"),
         F.lit(name.upper()).alias("tabla"),
         F.lit(column).alias("columna"),
-    )
+    ).distinct()
 
 
 def catalog_table(

@@ -14,7 +14,7 @@ from conform.operators import (
 )
 from conform.plans.protected import standardise_columns
 from conform.queries.registry import query, table
-from conform.queries.shared import RULES_SQL, rules_table
+from conform.queries.shared import RULES_SQL, catalog_table, rules_table
 from conform.sources import rows_frame
 
 
@@ -100,7 +100,8 @@ def homologate_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("g"),
         F.substring(segment, 1, 1).alias("code"),
     ).distinct()
-    return standardise_any(spelled, spellings, "segment", list("abcdefg"), "code")
+    rules = spark.table(catalog_table(spark, spellings, "spellings"))
+    return standardise_any(spelled, rules, "segment", list("abcdefg"), "code")
 
 
 @query(

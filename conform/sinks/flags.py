@@ -20,7 +20,8 @@ def flagged(
 ) -> DataFrame:
     """Set ``flag`` where ``condition`` holds; other rows keep theirs."""
     meets = F.expr(condition) if isinstance(condition, str) else condition
-    return df.withColumn(flag, F.when(meets, F.lit(value)).otherwise(F.col(flag)))
+    mark = F.lit(value).cast(df.schema[flag].dataType)
+    return df.withColumn(flag, F.when(meets, mark).otherwise(F.col(flag)))
 
 
 def update_flag(

@@ -122,6 +122,8 @@ def test_flagged_leaves_rows_of_an_unknown_condition(df):
         "1", "0", "1", "0"
     ]
     assert flagged(df, F.col("id") == 4, "flag", "x").where("flag = 'x'").count() == 1
+    number = flagged(df, "id = 1", flag="id", value="9")
+    assert number.dtypes == df.dtypes and number.where("id = 9").count() == 1
 
 
 FLAGGED = [(1, "Cali", "1"), (2, "Bogotá", "0"), (3, "Cali", None), (4, None, "1")]
