@@ -88,18 +88,21 @@ def equi_join(
 def _join(
     left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], how: str
 ) -> DataFrame:
-    conditions = [_equal(left, ours, right, theirs) for ours, theirs in on]
+    conditions = [
+        _key(left, ours, right, theirs, "l.") == _key(right, theirs, left, ours, "r.")
+        for ours, theirs in on
+    ]
     return left.alias("l").join(right.alias("r"), reduce(and_, conditions), how)
 
 
-def _equal(left: DataFrame, ours: str, right: DataFrame, theirs: str) -> Column:
-    a, b = F.col(f"l.`{ours}`"), F.col(f"r.`{theirs}`")
-    a_type, b_type = left.schema[ours].dataType, right.schema[theirs].dataType
-    if isinstance(a_type, StringType) and isinstance(b_type, NumericType):
-        a = safe_cast(a, a_type, b_type, truncate=True)
-    elif isinstance(b_type, StringType) and isinstance(a_type, NumericType):
-        b = safe_cast(b, b_type, a_type, truncate=True)
-    return a == b
+def _key(df: DataFrame, name: str, other: DataFrame, partner: str, side: str = "") -> Column:
+    """A key column, as a number if it is text and its partner is a number."""
+    column = F.col(f"{side}`{name}`")
+    kind = df.select(f"`{name}`").schema[0].dataType
+    wanted = other.select(f"`{partner}`").schema[0].dataType
+    if isinstance(kind, StringType) and isinstance(wanted, NumericType):
+        return safe_cast(column, kind, wanted, truncate=True)
+    return column
 
 
 def _lookup(
@@ -111,7 +114,10 @@ def _lookup(
     other_hot: bool,
 ) -> DataFrame:
     """The rows of ``df`` that have (semi) or lack (anti) a partner."""
-    keys = other.select(*(F.col(f"`{theirs}`") for _, theirs in on))
+    names = [f"__key{number}" for number in range(len(on))]
+    keys = other.select(
+        *(_key(other, theirs, df, ours).alias(name) for name, (ours, theirs) in zip(names, on))
+    )
     if other_hot and not df_hot:
         keys = keys.distinct()
     elif other_hot:
@@ -120,7 +126,7 @@ def _lookup(
         # already; with a few copies of each key left, it is made for the join.
         copy = F.spark_partition_id() % _COPIES
         keys = keys.withColumn(_COPY, copy).distinct().drop(_COPY)
-    return _join(df, keys, on, f"left_{kind}")
+    return _join(df, keys, [(ours, name) for name, (ours, _) in zip(names, on)], f"left_{kind}")
 
 
 def _columns(df: DataFrame) -> list[Column]:

@@ -107,9 +107,8 @@ def cast_counts(
 def _cast_or_null(
     df: DataFrame, column: str, data_type: DataType | str, truncate: bool
 ) -> Column:
-    if column not in df.columns:
-        raise ValueError(f"there is no column {column}")
-    cast = safe_cast(F.col(f"`{column}`"), df.schema[column].dataType, data_type, truncate)
+    value = F.col(f"`{column}`")
+    cast = safe_cast(value, df.select(value).schema[0].dataType, data_type, truncate)
     try:
         df.select(cast).schema  # noqa: B018 - asks Spark whether the cast exists
     except AnalysisException:

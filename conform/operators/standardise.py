@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from conform.operators.joins import equi_join
@@ -75,5 +75,4 @@ def _replace(df: DataFrame, pairs: DataFrame, column: str, how: str) -> DataFram
     if how not in ("inner", "left"):
         raise ValueError("how is 'inner' or 'left'")
     joined = equi_join(df, pairs.where(F.col(_MATCH).isNotNull()), [(column, _MATCH)], how)
-    kept: list[Column] = [F.col(f"`{name}`") for name in df.columns if name != column]
-    return joined.select(*kept, F.col(_STANDARD).alias(column))
+    return joined.drop(column, _MATCH).withColumnRenamed(_STANDARD, column)

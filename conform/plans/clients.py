@@ -83,12 +83,10 @@ def ingest(
 
     Returns the rows written. ``clients`` may be a glob.
     """
-    return write_partitioned(
-        client_product(
-            read_delimited(spark, clients, "|", CLIENT_SCHEMA),
-            read_delimited(spark, codes, ";", CODE_SCHEMA),
-            read_delimited(spark, products, ";", PRODUCT_SCHEMA),
-        ),
-        output,
-        [ROUTE_COLUMN],
+    joined = client_product(
+        read_delimited(spark, clients, "|", CLIENT_SCHEMA),
+        read_delimited(spark, codes, ";", CODE_SCHEMA),
+        read_delimited(spark, products, ";", PRODUCT_SCHEMA),
     )
+    # There are three routes, so gathering each would move all rows to save few files.
+    return write_partitioned(joined, output, [ROUTE_COLUMN], cluster=False)

@@ -13,7 +13,6 @@ from conform.queries.shared import (
     RULES_SQL,
     SEGMENT_CODES,
     SEGMENT_CODES_SQL,
-    catalog_table,
     rules_table,
 )
 from conform.sources import (
@@ -140,7 +139,8 @@ def rows_tuples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def scan_table_where(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = catalog_table(spark, table(spark, sf_dir, "orders"), "orders")
+    name = fresh_name("orders")
+    spark.catalog.createTable(name, f"{sf_dir}/orders.parquet", "parquet")
     found = read_table(spark, name, "o_orderstatus = 'F' and o_totalprice > 100000")
     return found.drop("o_orderdate")
 

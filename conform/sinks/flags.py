@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_, or_
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +9,7 @@ from conform.sinks.counting import clustered, write_counted
 from conform.sinks.tables import partition_columns
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-_LISTED_PARTITIONS = 500
+_PARTITIONS = 10_000  # no more of them are named in a filter; then all are written
 
 
 def flagged(
@@ -20,7 +17,7 @@ def flagged(
 ) -> DataFrame:
     """Set ``flag`` where ``condition`` holds; other rows keep theirs."""
     meets = F.expr(condition) if isinstance(condition, str) else condition
-    mark = F.lit(value).cast(df.schema[flag].dataType)
+    mark = F.lit(value).cast(df.select(flag).schema[0].dataType)
     return df.withColumn(flag, F.when(meets, mark).otherwise(F.col(flag)))
 
 
@@ -35,8 +32,8 @@ def update_flag(
 ) -> int:
     """Set ``flag`` on the rows of a table that meet ``condition``.
 
-    Of a partitioned table only the partitions with such rows are written
-    again, in place. Another table is written anew to ``location``, which must
+    Of a partitioned table the partitions with such rows are written again, in
+    place. Another table is written anew to ``location``, which must
     be unused, and the table is then pointed there; its old files stay.
     Returns the rows written. Meant for a single writer.
     """
@@ -57,18 +54,19 @@ def update_flag(
 
 
 def _affected(source: DataFrame, condition: Column | str, names: list[str]) -> DataFrame:
-    """The partitions that have rows which meet the condition, whole."""
-    touched = source.where(condition).select(*names).distinct()
-    values = touched.take(_LISTED_PARTITIONS + 1)
-    if len(values) <= _LISTED_PARTITIONS:
-        # Named in a filter they are pruned from the scan, without a join.
-        listed = [
-            reduce(and_, (F.col(name).eqNullSafe(F.lit(row[name])) for name in names))
-            for row in values
-        ]
-        return source.where(reduce(or_, listed, F.lit(False)))
-    same = [F.col(f"a.{name}").eqNullSafe(F.col(f"b.{name}")) for name in names]
-    return source.alias("a").join(touched.alias("b"), reduce(and_, same), "left_semi")
+    """The partitions that have rows which meet the condition, whole.
+
+    They are named in filters, one for each partition column, which prune the
+    scan. That may let in partitions with no such row: they stay as they are.
+    """
+    touched = source.where(condition).select(*names).distinct().take(_PARTITIONS + 1)
+    if len(touched) > _PARTITIONS:
+        return source
+    for name in names:
+        values = {row[name] for row in touched}
+        listed = F.col(name).isin([value for value in values if value is not None])
+        source = source.where(listed | F.col(name).isNull() if None in values else listed)
+    return source
 
 
 def _replace_partitions(spark: SparkSession, df: DataFrame, table: str) -> None:

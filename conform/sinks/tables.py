@@ -57,7 +57,8 @@ def insert(df: DataFrame, table: str) -> int:
     Returns the rows written; without any, raises `EmptyWriteError`.
     """
     target = df.sparkSession.table(table)
-    missing = [name for name in target.columns if name not in df.columns]
+    given = {name.lower() for name in df.columns}
+    missing = [name for name in target.columns if name.lower() not in given]
     if missing:
         raise SchemaMismatchError(f"{table} needs the columns {', '.join(missing)}")
     ordered = clustered(project_like(df, target), partition_columns(df, table))

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -99,5 +100,7 @@ def test_a_cast_that_does_not_exist_gives_nulls(spark):
 
 
 def test_an_unknown_column_is_an_error(spark):
-    with pytest.raises(ValueError):
-        cast_checked(rows_frame(spark, [(1,)], "a int"), "b", "int")
+    df = rows_frame(spark, [("1",)], "a string")
+    with pytest.raises(AnalysisException):
+        cast_checked(df, "b", "int")
+    assert cast_checked(df, "A", "int").collect() == [(1,)]

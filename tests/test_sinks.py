@@ -141,11 +141,7 @@ def test_update_flag_writes_a_new_snapshot(spark, df, table, tmp_path):
     assert spark.table(table).count() == 8
 
 
-@pytest.mark.parametrize("listed", [500, 1])
-def test_update_flag_rewrites_only_touched_partitions(
-    spark, df, table, tmp_path, monkeypatch, listed
-):
-    monkeypatch.setattr("conform.sinks.flags._LISTED_PARTITIONS", listed)
+def test_update_flag_rewrites_only_touched_partitions(spark, df, table, tmp_path):
     save(df, table, str(tmp_path / "t"), partitions=["city"])
     before = {path.name for path in (tmp_path / "t").rglob("*.parquet") if "Bogot" in str(path)}
     assert update_flag(spark, table, "id in (1, 4)", "") == 3
@@ -159,6 +155,20 @@ def test_update_flag_rewrites_only_touched_partitions(
     assert update_flag(spark, table, "id = 77", "") == 0
 
 
+def test_update_flag_of_too_many_partitions_to_name(spark, df, table, tmp_path, monkeypatch):
+    monkeypatch.setattr("conform.sinks.flags._PARTITIONS", 1)
+    save(df, table, str(tmp_path / "t"), partitions=["city"])
+    assert update_flag(spark, table, "id in (1, 4)", "") == 4
+    assert tuples(spark.table(table).select("id", "city", "flag")) == FLAGGED
+
+
+def test_update_flag_with_two_partition_columns(spark, df, table, tmp_path):
+    more = df.withColumn("year", F.when(F.col("id") < 3, 2020).otherwise(2021))
+    save(more, table, str(tmp_path / "t"), partitions=["city", "year"])
+    assert update_flag(spark, table, "id in (1, 4)", "") == 3
+    assert tuples(spark.table(table).select("id", "city", "flag")) == FLAGGED
+
+
 def test_touched_partitions_are_pruned_from_the_scan(spark, df, table, tmp_path, capsys):
     from conform.sinks.flags import _affected
 

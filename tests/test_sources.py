@@ -31,6 +31,12 @@ def test_glob_with_null_token_and_crlf(spark, shards):
     assert tuples(df) == [(None, "Bogotá"), (1, "x"), (2, None)]
 
 
+def test_some_columns_or_none(spark, shards):
+    df = read_delimited(spark, f"{shards}/ods_*.csv", "|", SCHEMA)
+    assert tuples(df.select("c")) == [(None,), ("Bogotá",), ("x",)]
+    assert df.count() == 3
+
+
 def test_inferred_types_equal_the_given_schema(spark, shards):
     df = read_delimited(spark, f"{shards}/ods_*.csv", "|", infer=True)
     assert df.dtypes == [("a b", "int"), ("c", "string")]
