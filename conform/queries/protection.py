@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from conform.functions import cipher_key, decrypt, encrypt
 from conform.operators import control_pairs, hash_and_drop, new_keys, protect, vault_delta
 from conform.operators.protect import CIPHER, HASH, VAULT_SCHEMA
-from conform.queries.registry import query, table
+from conform.queries.registry import fresh_name, query, scratch, table
 from conform.queries.shared import TRIAL_KEY, catalog_table
-from conform.sinks import insert
+from conform.sinks import create_vault, insert
 from conform.sources import read_table_or_empty, rows_frame
 
 
@@ -126,24 +126,38 @@ def new_keys_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return new_keys(_order_keys(spark, sf_dir), _overdrawn_vault(spark, sf_dir), dedup=True)
 
 
-@query(
-    """
+_GROWN_SQL = """
     select sha256(plain) as hashvalue, plain
     from (select distinct cast(o_custkey as varchar) as plain from orders
           union select cast(c_custkey as varchar) from customer where c_acctbal < 0)
-    """,
-    name="vault_delta",
-)
+"""
+
+
+@query(_GROWN_SQL, name="vault_delta")
 def grown_vault(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = cipher_key(spark, TRIAL_KEY)
-    groups = [["custkey"]]
-    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("custkey"))
-    overdrawn = (
-        table(spark, sf_dir, "customer")
-        .where(F.col("c_acctbal") < 0)
-        .select(F.col("c_custkey").alias("custkey"))
-    )
+    overdrawn, orders = _two_loads(spark, sf_dir)
     none = read_table_or_empty(spark, "no_vault_yet", VAULT_SCHEMA)
-    vault = catalog_table(spark, vault_delta(overdrawn, groups, key, none), "vault")
-    insert(vault_delta(orders, groups, key, spark.table(vault)), vault)
+    vault = catalog_table(spark, vault_delta(overdrawn, [["custkey"]], key, none), "vault")
+    insert(vault_delta(orders, [["custkey"]], key, spark.table(vault)), vault)
+    return spark.table(vault).select(HASH, decrypt(F.col(CIPHER), key).alias("plain"))
+
+
+@query(_GROWN_SQL)
+def vault_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = cipher_key(spark, TRIAL_KEY)
+    vault = fresh_name("vault")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    create_vault(spark, vault, scratch(spark, "vault"), buckets)
+    for load in _two_loads(spark, sf_dir):
+        insert(vault_delta(load, [["custkey"]], key, spark.table(vault)), vault)
     return spark.table(vault).select(HASH, decrypt(F.col(CIPHER), key).alias("plain"))
+
+
+def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    overdrawn = table(spark, sf_dir, "customer").where(F.col("c_acctbal") < 0)
+    orders = table(spark, sf_dir, "orders")
+    return (
+        overdrawn.select(F.col("c_custkey").alias("custkey")),
+        orders.select(F.col("o_custkey").alias("custkey")),
+    )

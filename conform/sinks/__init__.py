@@ -3,10 +3,12 @@
 from conform.sinks.files import overwrite_partitions, write_partitioned
 from conform.sinks.flags import flagged, update_flag
 from conform.sinks.tables import EmptyWriteError, SchemaMismatchError, insert, move, save
+from conform.sinks.vault import create_vault
 
 __all__ = [
     "EmptyWriteError",
     "SchemaMismatchError",
+    "create_vault",
     "flagged",
     "insert",
     "move",

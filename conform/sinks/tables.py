@@ -61,8 +61,8 @@ def insert(df: DataFrame, table: str) -> int:
     missing = [name for name in target.columns if name.lower() not in given]
     if missing:
         raise SchemaMismatchError(f"{table} needs the columns {', '.join(missing)}")
-    ordered = clustered(project_like(df, target), partition_columns(df, table))
-    rows = write_counted(ordered, lambda out: out.write.insertInto(table))
+    arranged = _arranged(project_like(df, target), table)
+    rows = write_counted(arranged, lambda out: out.write.insertInto(table))
     if not rows:
         raise EmptyWriteError(f"no rows to insert into {table}")
     return rows
@@ -88,6 +88,16 @@ def move(
     return insert(df, table)
 
 
+def _arranged(df: DataFrame, table: str) -> DataFrame:
+    """The rows of an output partition or bucket together, to write few files."""
+    buckets = [c.name for c in df.sparkSession.catalog.listColumns(table) if c.isBucket]
+    if not buckets:
+        return clustered(df, partition_columns(df, table))
+    described = df.sparkSession.sql(f"DESCRIBE EXTENDED {table}")
+    count = described.where("col_name = 'Num Buckets'").first()["data_type"]
+    return df.repartition(int(count), *buckets)
+
+
 def partition_columns(df: DataFrame, table: str) -> list[str]:
     columns = df.sparkSession.catalog.listColumns(table)
     return [column.name for column in columns if column.isPartition]

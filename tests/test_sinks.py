@@ -5,9 +5,11 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from conform.operators import vault_delta
 from conform.sinks import (
     EmptyWriteError,
     SchemaMismatchError,
+    create_vault,
     flagged,
     insert,
     move,
@@ -178,3 +180,25 @@ def test_touched_partitions_are_pruned_from_the_scan(spark, df, table, tmp_path,
     plan = capsys.readouterr().out
     assert "Join" not in plan
     assert "PartitionFilters: []" not in plan
+
+
+def test_a_bucketed_vault_is_not_shuffled(spark, table, tmp_path, capsys):
+    create_vault(spark, table, str(tmp_path / "v"), 8)
+    keys = spark.range(1000).select(F.col("id").alias("id"))
+    key = "0123456789abcdef"
+    assert insert(vault_delta(keys.where("id < 600"), [["id"]], key, spark.table(table)), table)
+    written = len(list((tmp_path / "v").glob("*.parquet")))
+    assert written <= 9  # one for each bucket, and the empty one it began with
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        delta = vault_delta(keys, [["id"]], key, spark.table(table))
+        assert delta.count() == 400
+        capsys.readouterr()
+        delta.explain()
+        plan = capsys.readouterr().out
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    vault_side = plan[plan.rindex("+- Sort"):]
+    assert "Bucketed: true" in vault_side and "Exchange" not in vault_side
+    assert insert(delta, table) == 400
+    assert spark.table(table).select("hashvalue").distinct().count() == 1000
