@@ -8,7 +8,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import DatetimeType, NumericType, StringType
 
 from conform.functions import safe_cast
 
@@ -42,7 +42,7 @@ def equi_join(
 ) -> DataFrame:
     """Join where each pair of columns is equal; all columns of both sides stay.
 
-    Text is compared with a number as a number: text that is none matches
+    Text is compared with a number or a date as one: text that is none matches
     nothing. ``cross`` with a condition is an inner join.
 
     ``hot`` names the sides on which single keys may hold a large share of the
@@ -96,11 +96,11 @@ def _join(
 
 
 def _key(df: DataFrame, name: str, other: DataFrame, partner: str, side: str = "") -> Column:
-    """A key column, as a number if it is text and its partner is a number."""
+    """A key column, as a number or date if it is text and its partner is one."""
     column = F.col(f"{side}`{name}`")
     kind = df.select(f"`{name}`").schema[0].dataType
     wanted = other.select(f"`{partner}`").schema[0].dataType
-    if isinstance(kind, StringType) and isinstance(wanted, NumericType):
+    if isinstance(kind, StringType) and isinstance(wanted, NumericType | DatetimeType):
         return safe_cast(column, kind, wanted, truncate=True)
     return column
 

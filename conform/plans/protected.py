@@ -69,8 +69,9 @@ def protected_load(
     With an ``audit_table`` the run is recorded there.
 
     The vault is written first: if a later step fails, a second run finds its
-    keys there and adds none twice. The writes are not one transaction, so a
-    target and its vault must have one writer at a time.
+    keys there and adds none twice. The writes are not one transaction, so the
+    target, its vault and the flags of the source must have one writer at a time.
+    A vault that does not exist yet is made without buckets, see `create_vault`.
     """
     run = AuditRun(spark, source, target, "protected load")
     try:

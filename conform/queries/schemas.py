@@ -78,25 +78,18 @@ def _without_prefix(df: DataFrame) -> list[str]:
     return [name.split("_", 1)[1] for name in column_names(df)]
 
 
-_OTHER_SQL = "(select substr(column_name, 3) from (describe supplier))"
+_NAME_SQL = "substr(column_name, 3)"
+_OTHER_SQL = f"(select {_NAME_SQL} from (describe supplier))"
 
 
-@query(
-    _listed_sql(
-        "substr(column_name, 3)", "customer", "customer", f"substr(column_name, 3) not in {_OTHER_SQL}"
-    )
-)
+@query(_listed_sql(_NAME_SQL, "customer", "customer", f"{_NAME_SQL} not in {_OTHER_SQL}"))
 def schema_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer, supplier = (table(spark, sf_dir, name) for name in ("customer", "supplier"))
     names = difference_columns(_without_prefix(customer), _without_prefix(supplier))
     return _listed(customer, names)
 
 
-@query(
-    _listed_sql(
-        "substr(column_name, 3)", "customer", "customer", f"substr(column_name, 3) in {_OTHER_SQL}"
-    )
-)
+@query(_listed_sql(_NAME_SQL, "customer", "customer", f"{_NAME_SQL} in {_OTHER_SQL}"))
 def schema_common(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer, supplier = (table(spark, sf_dir, name) for name in ("customer", "supplier"))
     names = common_columns(_without_prefix(customer), _without_prefix(supplier))
@@ -162,7 +155,10 @@ def cast_truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cast_checked(_mixed(spark, sf_dir), "number", "int", truncate=True)
 
 
-@query(f"select * from ({_MIXED_SQL}) as m where not regexp_full_match(number, '[0-9]+')", name="cast_lost_rows")
+@query(
+    f"select * from ({_MIXED_SQL}) as m where not regexp_full_match(number, '[0-9]+')",
+    name="cast_lost_rows",
+)
 def lost_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cast_lost_rows(_mixed(spark, sf_dir), "number", "int")
 

@@ -51,6 +51,13 @@ def test_text_that_is_no_number_matches_nothing(spark):
     assert equi_join(dept(spark), people, [("dept_id", "emp_dept_id")], "anti").count() == 1
 
 
+def test_text_is_compared_with_a_date_as_a_date(spark):
+    texts = rows_frame(spark, [("2020-02-29",), ("29/02/2020",), ("",)], "t string")
+    days = spark.sql("select date'2020-02-29' as d")
+    assert equi_join(texts, days, [("t", "d")]).count() == 1
+    assert equi_join(texts, days, [("t", "d")], "anti").count() == 2
+
+
 def test_product_and_self_join(spark):
     assert emp(spark).crossJoin(dept(spark)).count() == 24
     a, b = emp(spark).alias("a"), emp(spark).alias("b")
