@@ -23,13 +23,9 @@ from conform.sources import (
     run_sql,
 )
 
-_ROWS_PER_FILE = 10_000  # makes a glob match several files, however small the table
-
 
 def _write_delimited(df: DataFrame, path: str, sep: str) -> str:
-    df.write.options(
-        header=True, sep=sep, nullValue="null", maxRecordsPerFile=_ROWS_PER_FILE
-    ).csv(path)
+    df.write.options(header=True, sep=sep, nullValue="null").csv(path)
     return f"{path}/part-*.csv"
 
 
@@ -49,8 +45,10 @@ def scan_delimited_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_totalprice",
         "o_orderpriority",
     )
-    files = _write_delimited(orders, scratch(spark, "orders"), "|")
-    return read_delimited(spark, files, "|", orders.schema)
+    path = scratch(spark, "orders")
+    shards = orders.withColumn("shard", F.col("o_orderpriority"))
+    shards.write.options(header=True, sep="|", nullValue="null").partitionBy("shard").csv(path)
+    return read_delimited(spark, f"{path}/shard=*/part-*.csv", "|", orders.schema)
 
 
 @query("select s_suppkey, s_name, s_nationkey, s_acctbal from supplier")

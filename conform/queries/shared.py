@@ -25,8 +25,9 @@ SEGMENT_CODES_SQL = (
 # A key for trying the cipher. Real keys come from a secret store.
 TRIAL_KEY = "0123456789abcdef"
 
-# A rules table made from the values in the tables. Customers' rules stand in it
-# for two columns, and other tables' rules beside them, for a lookup to sort out.
+# A rules table made from the values in the tables; a code is a value's abbreviation.
+# Customers' rules stand in it for two columns, and other tables' rules beside them,
+# for a lookup to sort out.
 RULES_SQL = """
     select distinct substr(c_mktsegment, 1, 2) as codigo_id, c_mktsegment as homologacion,
                     'CUSTOMER' as tabla, columna

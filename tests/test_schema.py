@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
@@ -43,6 +45,15 @@ def test_difference_and_common_split_the_first_list():
     assert common_columns(a, []) == []
 
 
+@given(st.lists(st.sampled_from("abcdef")), st.lists(st.sampled_from("abcdef")))
+def test_the_two_lists_make_up_the_first(a, b):
+    difference, common = difference_columns(a, b), common_columns(a, b)
+    assert sorted(difference + common) == sorted(a)
+    assert not set(difference) & set(b)
+    assert set(common) <= set(b)
+    assert [name for name in a if name in difference] == difference
+
+
 def test_report():
     assert column_report(["a", "b"]) == "\n- a\n- b"
     assert column_report([]) == ""
