@@ -67,7 +67,7 @@ def session(cpus: str) -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("conform-bench")
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "4g"))
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
     )

@@ -50,9 +50,11 @@ def equi_join(
     in an outer join only on the side whose rows are all kept, and in a semi or
     anti join only on the left. Where it could not, an outer join is made of
     parts in which it can, a join and the rows without a partner, and a hot side
-    that is only looked up is cut to its distinct keys. Sides are then
-    read more than once, so they must give the same rows each time. Broadcasts
-    are left to Spark, which checks a side's size against its own threshold.
+    that is only looked up is cut to its distinct keys. Sides are then read more
+    than once, so they must give the same rows each time.
+
+    Broadcasts are left to Spark, which checks a side's size against its own
+    threshold.
     """
     kind = JOIN_KINDS.get(how.lower().replace("_", ""))
     if kind is None:

@@ -81,7 +81,7 @@ def filter_distinct_from(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
     select o_orderkey, cast(substr(o_orderpriority, 1, 1) as int) as rank
-    from orders where o_orderstatus = 'P'
+    from orders where o_orderstatus = 'P' and o_orderpriority is not null
     """
 )
 def filter_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:

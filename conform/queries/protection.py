@@ -64,7 +64,8 @@ def controlled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    select c_custkey, plain, cast(4 * ceil(16 * (length(plain) // 16 + 1) / 3) as int) as size
+    select c_custkey, plain,
+           cast(coalesce(4 * ceil(16 * (length(plain) // 16 + 1) / 3), 0) as int) as size
     from (select c_custkey, c_mktsegment || cast(c_custkey as varchar) as plain from customer)
     """
 )
@@ -130,6 +131,7 @@ _GROWN_SQL = """
     select sha256(plain) as hashvalue, plain
     from (select distinct cast(o_custkey as varchar) as plain from orders
           union select cast(c_custkey as varchar) from customer where c_acctbal < 0)
+    where plain is not null
 """
 
 

@@ -153,7 +153,11 @@ def rules_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules_for(rules_table(spark, sf_dir), "customer")
 
 
-@query("select sha256(c_name) as hashvalue, c_name as aesvalue from customer")
+@query(
+    """
+    select sha256(c_name) as hashvalue, c_name as aesvalue from customer where c_name is not null
+    """
+)
 def empty_with_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     vault = read_table_or_empty(spark, fresh_name("vault"), VAULT_SCHEMA)
     customers = table(spark, sf_dir, "customer").select(F.sha2("c_name", 256).alias("h"), "c_name")

@@ -60,7 +60,7 @@ def schema_names_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
     select cast(position as int) as position, entry,
-           (select count(distinct o_orderstatus) from orders) as n_rows
+           (select count(*) from (select distinct o_orderstatus from orders)) as n_rows
     from (values (0, 'n_orders'), (1, 'source')) as v (position, entry)
     """
 )

@@ -59,7 +59,8 @@ def sink_dynamic_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_save_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, location = fresh_name("customer"), scratch(spark, "customer")
     customer = table(spark, sf_dir, "customer").drop("c_nationkey")
-    for part in (F.col("c_acctbal") < 0, F.col("c_acctbal") >= 0):
+    overdrawn = F.coalesce(F.col("c_acctbal") < 0, F.lit(False))
+    for part in (overdrawn, ~overdrawn):
         save(customer.where(part), name, location, partitions=["c_mktsegment"])
     return spark.table(name)
 
@@ -127,6 +128,7 @@ def flag_update_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def schema_gated_move(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, location = fresh_name("part"), scratch(spark, "part")
     part = table(spark, sf_dir, "part")
-    for half in (F.col("p_type") == "PROMO", F.col("p_type") != "PROMO"):
+    promoted = F.col("p_type").eqNullSafe("PROMO")
+    for half in (promoted, ~promoted):
         move(part.where(half), name, location)
     return spark.table(name)

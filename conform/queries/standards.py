@@ -45,7 +45,7 @@ def homologate_left(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
     select c_mktsegment, count(*) as "rows" from customer
-    where c_mktsegment = 'AUTOMOBILE' group by c_mktsegment
+    where c_mktsegment = 'AUTOMOBILE' or c_mktsegment is null group by c_mktsegment
     """
 )
 def homologate_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -153,7 +153,10 @@ def loaded_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(_load(spark, sf_dir)["target"])
 
 
-@query(_LOADED_SQL + "select distinct sha256(plain) as hashvalue, plain from loaded")
+@query(
+    _LOADED_SQL
+    + "select distinct sha256(plain) as hashvalue, plain from loaded where plain is not null"
+)
 def protected_load_vault(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = cipher_key(spark, TRIAL_KEY)
     vault = spark.table(_load(spark, sf_dir)["vault"])
@@ -181,13 +184,15 @@ _AUDIT_COLUMNS = [
 
 
 @query(
-    """
+    _LOADED_SQL
+    + """
     select 'DataTransformation' as "nombreProceso", 'Init' as estado,
            'protected load' as descripcion, 0 as "cantidadRegistrosOrigen",
            0 as "cantidadRegistrosCargados", false as "cargaForzada"
     union all
-    select 'DataTransformation', 'OK', '', count(*), count(*), false
-    from orders where o_orderstatus <> 'P'
+    select 'DataTransformation', 'OK', '',
+           (select count(*) from orders where o_orderstatus <> 'P'),
+           (select count(*) from loaded), false
     """
 )
 def audit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

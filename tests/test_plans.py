@@ -199,6 +199,20 @@ def test_a_second_load_adds_no_key_twice(spark, load, audit_table):
     assert spark.table(audit_table).where("descripcion = 'no new keys, '").count() == 1
 
 
+def test_a_load_that_fails_after_the_vault_can_be_run_again(spark, load, audit_table, tmp_path):
+    run, names = load
+    save(rows_frame(spark, [(1,)], "other int"), names["target"], str(tmp_path / "wrong"))
+    with pytest.raises(RunFailed, match="other"):
+        run(flag_location=str(tmp_path / "flagged"))
+    assert spark.table(names["vault"]).count() == 3
+    assert spark.table(names["source"]).where("flag = '1'").count() == 0
+    spark.sql(f"drop table {names['target']}")
+    assert run() == LoadResult(6, 5, 0)
+    assert spark.table(names["vault"]).count() == 3
+    states = [row.estado for row in spark.table(audit_table).orderBy("timestampEvento").collect()]
+    assert states == ["Init", "KO", "Init", "OK"]
+
+
 def test_a_load_without_rows_fails_and_is_recorded(spark, load, audit_table):
     run, names = load
     with pytest.raises(RunFailed):
