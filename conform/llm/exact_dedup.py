@@ -44,6 +44,10 @@ def seen_digests(
     # Only this session's streams keep their state on disk; the caller's stay as they are.
     session = spark.newSession()
     session.conf.set("spark.sql.streaming.stateStore.providerClass", DISK_STORE)
+    # Many small stores: no space set aside before it is needed.
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
+    parts = "spark.sql.shuffle.partitions"
+    session.conf.set(parts, spark.conf.get(parts))
     schema = spark.read.parquet(path).schema
     reader = session.readStream.schema(schema)
     if files_per_batch:
