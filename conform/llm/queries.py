@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from conform.llm.exact_dedup import document_duplicates
+from conform.llm.fingerprints import document_fingerprints
+from conform.llm.secrets import document_secrets
 from conform.llm.shards import document_shards
 from conform.queries.registry import table
 
@@ -19,6 +21,10 @@ def _query(function, sql: str | None = None):
     return function
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_secrets(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_duplicates(spark, f"{sf_dir}/documents.parquet")
 
@@ -27,6 +33,11 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_shards(table(spark, sf_dir, "documents"))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_fingerprints(table(spark, sf_dir, "documents"))
+
+
+_query(op5_secrets)
 _query(
     op7_exact_dedup,
     r"""
@@ -41,3 +52,4 @@ _query(
     """,
 )
 _query(op8_sharding)
+_query(op10_fingerprints)
