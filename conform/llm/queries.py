@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from conform.llm.byte_bpe import document_tokens
 from conform.llm.exact_dedup import document_duplicates
 from conform.llm.fingerprints import document_fingerprints
+from conform.llm.packing import document_sequences
 from conform.llm.secrets import document_secrets
 from conform.llm.shards import document_shards
 from conform.queries.registry import table
@@ -21,10 +24,21 @@ def _query(function, sql: str | None = None):
     return function
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    documents = table(spark, sf_dir, "documents")
+    return document_sequences(documents, vocabulary, public_tokenizers.PATTERN)
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_secrets(table(spark, sf_dir, "documents"))
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return document_tokens(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_duplicates(spark, f"{sf_dir}/documents.parquet")
 
@@ -37,7 +51,9 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_fingerprints(table(spark, sf_dir, "documents"))
 
 
+_query(op1_packing)
 _query(op5_secrets)
+_query(op6_byte_bpe)
 _query(
     op7_exact_dedup,
     r"""
