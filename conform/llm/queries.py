@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from conform.llm.byte_bpe import document_tokens
 from conform.llm.exact_dedup import document_duplicates
 from conform.llm.fingerprints import document_fingerprints
+from conform.llm.ngram_join import similar_documents
 from conform.llm.packing import document_sequences
 from conform.llm.secrets import document_secrets
 from conform.llm.shards import document_shards
+from conform.llm.toxicity import document_toxicity
 from conform.queries.registry import table
 
 QUERIES = {}
@@ -30,6 +32,14 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_sequences(documents, vocabulary, public_tokenizers.PATTERN)
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_secrets(table(spark, sf_dir, "documents"))
 
@@ -52,6 +62,8 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _query(op1_packing)
+_query(op2_ngram_join)
+_query(op4_toxicity)
 _query(op5_secrets)
 _query(op6_byte_bpe)
 _query(

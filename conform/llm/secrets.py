@@ -236,10 +236,50 @@ def document_secrets(documents: DataFrame) -> DataFrame:
     )
 
 
-def without_secrets(docs: DataFrame) -> DataFrame:
-    """Documents with each secret replaced by a mark that names its kind.
+def without_secrets(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
+    """Documents with each secret replaced by a mark; all rows and columns stay.
 
-    All rows and columns stay. Spans that meet or overlap become one mark; a text
-    without spans, null or not, stays as it is.
+    Spans that overlap become one mark, of an assignment only the value goes. A text
+    without spans, null or not, stays as it is. Column ``n_chars``, if there, is that
+    of the new text.
     """
-    raise NotImplementedError
+    names = docs.columns
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    spans = secret_spans(docs).where("kind is not null")
+    spans = spans.withColumn("start", F.col("end") - F.length("secret"))
+    # Overlapping spans form one: a new one starts where all before have ended.
+    in_order = Window.partitionBy("_row").orderBy("start", "end")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    fresh = F.coalesce(F.col("start") >= F.max("end").over(before), F.lit(True))
+    spans = spans.select("_row", "start", "end", fresh.cast("int").alias("_fresh"))
+    spans = spans.withColumn("_number", F.sum("_fresh").over(in_order))
+    spans = spans.groupBy("_row", "_number").agg(
+        F.min("start").alias("start"), F.max("end").alias("end")
+    )
+    # The text from the end of each span to the start of the next.
+    next_start = F.lead("start").over(Window.partitionBy("_row").orderBy("start"))
+    spans = spans.withColumn("_until", next_start)
+    marked = spans.groupBy("_row").agg(
+        F.sort_array(F.collect_list(F.struct("start", "end", "_until"))).alias("_spans")
+    )
+    pieces = F.transform(
+        "_spans",
+        lambda s: F.concat(
+            F.lit(mark),
+            F.substring(
+                F.col("text"), (s["end"] + 1).cast("int"),
+                (F.coalesce(s["_until"], F.length("text")) - s["end"]).cast("int"),
+            ),
+        ),
+    )
+    head = F.left(F.col("text"), F.col("_spans")[0]["start"].cast("int"))
+    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(
+        F.concat(head, F.concat_ws("", pieces))
+    )
+    changed = rows.join(stored(marked, "marked"), "_row", "left").withColumn("text", text)
+    if "n_chars" in names:
+        own = F.length("text").cast(docs.schema["n_chars"].dataType)
+        changed = changed.withColumn(
+            "n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(own)
+        )
+    return changed.select(*names)
