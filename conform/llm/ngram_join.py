@@ -31,7 +31,7 @@ PERCENT = 80
 #: Text that one chunk holds, in bytes, if it is more than one row; and rows that it holds.
 CHUNK_BYTES, CHUNK_ROWS = 16 << 20, 60_000
 #: Fragments in which overlaps are counted.
-FRAGMENTS = 8
+FRAGMENTS = 4
 _MANY = 0xFFFF
 _ENTRIES = "key long, chunk long, kind int, grams binary, whose binary, counts binary"
 _REPLIES = "chunk long, kind int, grams binary, whose binary, counts binary"
@@ -272,8 +272,8 @@ def _overlap(left: pd.Series, right: pd.Series) -> pd.Series:
     )
 
 
-def _links(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` that are similar enough: partial overlaps of fragments, summed."""
+def _overlaps(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
+    """What the pairs ``a, b`` have in common: partial overlaps of fragments, summed."""
     left = fragments.select(
         F.col("node").alias("a"), "fragment", F.col("grams").alias("_left"), F.col("n").alias("_n")
     )
@@ -282,8 +282,12 @@ def _links(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
     )
     partial = pairs.join(left, "a").join(right, ["b", "fragment"])
     partial = partial.select("a", "b", "_n", "_m", _overlap("_left", "_right").alias("_both"))
-    total = partial.groupBy("a", "b", "_n", "_m").agg(F.sum("_both").alias("_both"))
-    return total.where(f"100 * _both >= {PERCENT} * (_n + _m - _both)").select("a", "b")
+    return partial.groupBy("a", "b", "_n", "_m").agg(F.sum("_both").alias("_both"))
+
+
+def _links(overlaps: DataFrame) -> DataFrame:
+    """The pairs that are similar enough."""
+    return overlaps.where(f"100 * _both >= {PERCENT} * (_n + _m - _both)").select("a", "b")
 
 
 def _may_link(n: str, shared: str, m: str, other: str) -> str:
@@ -323,7 +327,8 @@ def similar_sets(sets: DataFrame) -> DataFrame:
     near = stored(
         near.select(F.col("node").alias("a"), F.col("_best").alias("b")).distinct(), "pairs"
     )
-    links = stored(_links(near, fragments), "links")
+    near = stored(_overlaps(near, fragments), "overlaps")
+    links = stored(_links(near), "links")
     roots = components(links)
     root = F.coalesce("root", "node")
     rooted = meeting.join(roots, "node", "left").withColumn("root", root)
@@ -331,7 +336,11 @@ def similar_sets(sets: DataFrame) -> DataFrame:
     lists = lists.join(of_best, "_best", "left").withColumn(
         "_best_root", F.coalesce("_best_root", "_best")
     )
-    rooted = stored(rooted.join(stored(lists, "lists"), "gram"), "rooted")
+    # Of what two sets share, a part lies in their list's best set and a part does not.
+    inside = near.select(F.col("a").alias("node"), F.col("b").alias("_best"), "_both")
+    rooted = rooted.join(stored(lists, "lists"), "gram").join(inside, ["node", "_best"], "left")
+    rooted = rooted.withColumn("_in", F.expr("if(node = _best, shared, _both)"))
+    rooted = stored(rooted.select("gram", "node", "n", "shared", "root", "_best_root", "_least", "_in"), "rooted")
     outside = rooted.where("root <> _best_root").where(
         f"{100 + PERCENT} * shared >= {PERCENT} * (n + _least)"
     )
@@ -341,17 +350,22 @@ def similar_sets(sets: DataFrame) -> DataFrame:
         F.col("n").alias("_n"),
         F.col("shared").alias("_shared"),
         F.col("root").alias("_root"),
+        F.col("_in").alias("_other_in"),
     )
     far = stored(outside, "outside").join(others, "gram").where("root <> _root")
     far = far.where("_root = _best_root or node < _node")
-    far = far.where(_may_link("n", "shared", "_n", "_shared"))
+    most = (
+        "if(_in is null or _other_in is null, least(shared, _shared), "
+        "least(_in, _other_in) + least(shared - _in, _shared - _other_in))"
+    )
+    far = far.where(f"{100 + PERCENT} * {most} >= {PERCENT} * (n + _n)")
     far = stored(
         far.select(
             F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")
         ).distinct(),
         "pairs",
     )
-    return components(links.unionByName(stored(_links(far, fragments), "links")))
+    return components(links.unionByName(stored(_links(_overlaps(far, fragments)), "links")))
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
