@@ -162,6 +162,19 @@ def _parts(df: DataFrame) -> int:
 
 def text_sets(documents: DataFrame, words: int = WORDS) -> DataFrame:
     """Shared n-grams of whole texts; columns as of ``_shared``, a ``node`` for each row."""
+    return _text_sets(documents, "doc_id", lambda texts: shingles(texts, words), True)
+
+
+def repeated_of_rows(rows: DataFrame, key: str, hashes) -> DataFrame:
+    """Hashes that come again in the same or another text: ``key, grams`` of rows with any.
+
+    ``hashes`` gives those of a list of texts and whose each is.
+    """
+    found = _text_sets(rows, key, hashes, False).where("grams is not null")
+    return found.select(F.col("doc_id").alias(key), "grams")
+
+
+def _text_sets(documents: DataFrame, key: str, hashes, sized: bool) -> DataFrame:
     parts = _parts(documents)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +183,7 @@ def text_sets(documents: DataFrame, words: int = WORDS) -> DataFrame:
 
         def emit():
             owners = np.concatenate(whose)
-            sizes = np.bincount(owners, minlength=len(ids))
+            sizes = np.bincount(owners, minlength=len(ids)) * sized
             rows = _chunk(number, ids, sizes, np.concatenate(grams), owners, parts)
             return _rows(_ENTRIES, rows).to_batches()
 
@@ -183,15 +196,15 @@ def text_sets(documents: DataFrame, words: int = WORDS) -> DataFrame:
                     yield from emit()
                     number += 1
                     ids, grams, whose, held = [], [], [], 0
-                found, owner = shingles(texts, words)
+                found, owner = hashes(texts)
                 grams.append(found)
                 whose.append(owner + len(ids))
-                ids += piece.column("doc_id").to_pylist()
+                ids += piece.column(key).to_pylist()
                 held += size
         if ids:
             yield from emit()
 
-    return _shared(documents.select("doc_id", "text").mapInArrow(run, _ENTRIES))
+    return _shared(documents.select(key, "text").mapInArrow(run, _ENTRIES))
 
 
 def set_sets(sets: DataFrame) -> DataFrame:

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from conform.llm.byte_bpe import document_tokens
 from conform.llm.exact_dedup import document_duplicates
 from conform.llm.fingerprints import document_fingerprints
+from conform.llm.licenses import document_licenses
 from conform.llm.ngram_join import similar_documents
 from conform.llm.packing import document_sequences
+from conform.llm.repeats import document_repeats
 from conform.llm.secrets import document_secrets
 from conform.llm.shards import document_shards
 from conform.llm.toxicity import document_toxicity
@@ -36,6 +38,10 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -57,12 +63,17 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_shards(table(spark, sf_dir, "documents"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_licenses(table(spark, sf_dir, "documents"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_fingerprints(table(spark, sf_dir, "documents"))
 
 
 _query(op1_packing)
 _query(op2_ngram_join)
+_query(op3_repeats)
 _query(op4_toxicity)
 _query(op5_secrets)
 _query(op6_byte_bpe)
@@ -80,4 +91,5 @@ _query(
     """,
 )
 _query(op8_sharding)
+_query(op9_licenses)
 _query(op10_fingerprints)
