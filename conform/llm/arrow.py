@@ -16,7 +16,7 @@ KINDS = {
     "binary": pa.binary(),
 }
 #: Bytes of text that a block of rows may hold, if it holds more than one row.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def blocks(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
