@@ -14,13 +14,15 @@ from conform.llm.arrow import map_blocks, texts
 from conform.llm.tables import stored
 
 WORD = re.compile(r"[^\W\d_]+")
-STEMS = (4, 5)
+STEMS = (4, 5, 6, 7)
 #: Labelled documents that the model is fitted on, at most; those with the least hashes.
 SAMPLE_DOCUMENTS = 12_000
 #: Features that the model holds, at most; each must be so many times as frequent among
 #: toxic documents as among others, and come in so many toxic ones.
 FEATURES, RATIO, SUPPORT = 5000, 8.0, 3
 GRADES = 3
+#: Weight of the squared weights in what is minimised.
+PENALTY = 0.1
 #: Expected severity from which a document is rejected.
 REJECT = 0.5
 
@@ -54,10 +56,10 @@ def fit(
 
     ``rows`` hold the features of each document by number. Thresholds stay in order,
     as each is the one before plus a positive step. Without any document, or with
-    one grade only, every document gets grade 0.
+    one grade only, or without features, every document gets grade 0.
     """
     grade = np.array(grades, dtype=int)
-    if len(set(grades)) < 2:
+    if len(set(grades)) < 2 or not names:
         return Severity({}, [500.0] * (GRADES - 1))
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     column = np.array([i for r in rows for i in r], dtype=int)
@@ -79,7 +81,7 @@ def fit(
         by_steps = np.array([by_cut[k:].sum() for k in range(1, GRADES - 1)]) * np.exp(steps)
         slope = np.concatenate(
             [
-                np.bincount(column, weights=by_score[owner], minlength=len(names)) + 0.5 * weight,
+                np.bincount(column, weights=by_score[owner], minlength=len(names)) + PENALTY * weight,
                 [by_cut.sum()],
                 by_steps,
             ]
