@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +12,6 @@ from conform.sinks.counting import clustered, write_counted
 from conform.sinks.tables import partition_columns
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-_PARTITIONS = 10_000  # no more of them are named in a filter; then all are written
 
 
 def flagged(
@@ -39,6 +41,9 @@ def update_flag(
     """
     source = spark.table(table)
     names = partition_columns(source, table)
+    if flag in names:
+        # A partition that loses all its rows would stay, one that gains some lose its own.
+        raise ValueError(f"{flag} is a partition column of {table}; its rows would have to move")
     if not names:
         rows = write_counted(
             flagged(source, condition, flag, value),
@@ -56,17 +61,17 @@ def update_flag(
 def _affected(source: DataFrame, condition: Column | str, names: list[str]) -> DataFrame:
     """The partitions that have rows which meet the condition, whole.
 
-    They are named in filters, one for each partition column, which prune the
-    scan. That may let in partitions with no such row: they stay as they are.
+    They stay a table of their own, so nothing of them goes through the driver, and
+    all partition columns together say which they are. Nulls are matched apart, as
+    equality alone lets Spark prune the scan.
     """
-    touched = source.where(condition).select(*names).distinct().take(_PARTITIONS + 1)
-    if len(touched) > _PARTITIONS:
-        return source
-    for name in names:
-        values = {row[name] for row in touched}
-        listed = F.col(name).isin([value for value in values if value is not None])
-        source = source.where(listed | F.col(name).isNull() if None in values else listed)
-    return source
+    touched = source.where(condition).select(*names).distinct()
+    some_null = reduce(or_, (F.col(name).isNull() for name in names))
+    whole = source.where(~some_null).join(touched.where(~some_null), names, "left_semi")
+    left, right = source.where(some_null).alias("l"), touched.where(some_null).alias("r")
+    same = reduce(and_, (F.col(f"l.`{n}`").eqNullSafe(F.col(f"r.`{n}`")) for n in names))
+    partly = left.join(right, same, "left_semi")
+    return whole.select(*source.columns).unionByName(partly)
 
 
 def _replace_partitions(spark: SparkSession, df: DataFrame, table: str) -> None:
