@@ -6,12 +6,14 @@ import base64
 import hashlib
 from functools import lru_cache
 
+import ahocorasick
 import regex
 from pyspark.sql import DataFrame
 
 from conform.llm.arrow import map_blocks, texts
 
 #: Entries that each of a worker's memories holds; a full one starts anew, with the same results.
+#: Of pieces the full one is kept beside the new one, until that is full.
 REMEMBERED = 300_000
 
 
@@ -33,9 +35,14 @@ class PrefixEncoder:
         self.bytes = {rank: token for token, rank in self.ranks.items()}
         self.longest = max(map(len, self.ranks))
         self.pieces = regex.compile(pattern).findall
+        self.endings = ahocorasick.Automaton()
+        for token, rank in self.ranks.items():
+            self.endings.add_word(token.decode("latin-1"), (rank, len(token)))
+        self.endings.make_automaton()
         self._whole: dict[int, bool] = {}
         self._apart: dict[tuple[int, int], bool] = {}
         self._known: dict[str, tuple[str, int, bytes]] = {}
+        self._before: dict[str, tuple[str, int, bytes]] = {}
 
     def merged(self, piece: bytes) -> list[int]:
         """Tokens left when the neighbours of least rank are merged again and again."""
@@ -64,26 +71,34 @@ class PrefixEncoder:
         if (known := self._apart.get(pair)) is None:
             if len(self._apart) >= REMEMBERED:
                 self._apart.clear()
-            known = self._apart[pair] = self.merged(self.bytes[left] + self.bytes[right]) == [
-                left,
-                right,
-            ]
+            known = self._apart[pair] = self.whole(right) and self.merged(
+                self.bytes[left] + self.bytes[right]
+            ) == [left, right]
         return known
 
     def prefixes(self, piece: bytes, last: list[int] | None = None) -> list[int]:
-        """The last token of each prefix; ``last`` holds those known, for a piece's start."""
+        """The last token of each prefix; ``last`` holds those known, for a piece's start.
+
+        An automaton of the vocabulary finds the tokens that end at each byte.
+        """
         last = list(last or ())
-        ranks, apart = self.ranks, self.apart
-        for end in range(len(last) + 1, len(piece) + 1):
-            for start in range(max(0, end - self.longest), end):
-                token = ranks.get(piece[start:end])
-                if token is None or not self.whole(token):
-                    continue
-                if start == 0 or apart(last[start - 1], token):
-                    last.append(token)
-                    break
-            else:
-                raise ValueError("a byte of the text is not in the vocabulary")
+        done, pairs = len(last), self._apart
+        text = piece.decode("latin-1")
+        for end, (token, size) in self.endings.iter(text, max(0, done + 1 - self.longest)):
+            if end < done:
+                continue
+            if end > done:
+                break
+            before = end - size
+            if before < 0:
+                fits = self.whole(token)
+            elif (fits := pairs.get((last[before], token))) is None:
+                fits = self.apart(last[before], token)
+            if fits:
+                last.append(token)
+                done += 1
+        if done < len(piece):
+            raise ValueError("a byte of the text is not in the vocabulary")
         return last
 
     def appended(self, piece: bytes, last: list[int], more: bytes) -> list[int]:
@@ -116,20 +131,18 @@ class PrefixEncoder:
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """How many tokens, and the hashes of their ids and of the bytes they decode to."""
-        known, count = self._known, 0
-        ids, decoded = [], []
-        for piece in self.pieces(text):
-            found = known.get(piece)
-            if found is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
+        if len(self._known) >= REMEMBERED:
+            self._before, self._known = self._known, {}
+        known, pieces = self._known, self.pieces(text)
+        for piece in set(pieces).difference(known):
+            if (found := self._before.get(piece)) is None:
                 own = self.encode_piece(piece.encode())
-                found = known[piece] = ",".join(map(str, own)), len(own), self.decode(own)
-            ids.append(found[0])
-            count += found[1]
-            decoded.append(found[2])
+                found = ",".join(map(str, own)), len(own), self.decode(own)
+            known[piece] = found
+        encoded = list(map(known.__getitem__, pieces))
+        ids, counts, decoded = zip(*encoded, strict=True) if encoded else ((), (), ())
         return (
-            count,
+            sum(counts),
             hashlib.sha256(",".join(ids).encode()).hexdigest(),
             hashlib.sha256(b"".join(decoded)).hexdigest(),
         )
