@@ -36,6 +36,7 @@ _MANY = 0xFFFF
 _ENTRIES = "key long, chunk long, kind int, grams binary, whose binary, counts binary"
 _REPLIES = "chunk long, kind int, grams binary, whose binary, counts binary"
 _SETS = "node long, doc_id long, n long, shared long, grams binary, counts binary"
+_MEETING = "gram long, node long, n long, shared long, at long"
 _DOCS, _LOCAL, _SINGLE, _REPEATED = range(4)
 
 
@@ -232,7 +233,8 @@ def set_sets(sets: DataFrame) -> DataFrame:
 def _rarest(sets: DataFrame) -> DataFrame:
     """The n-grams by which a set meets others: rarest first, as many as a link can miss, and one.
 
-    Two sets that link share one of these. Those that no other set has come first.
+    Two sets that link share one of these. Those that no other set has come first;
+    ``at`` is the place in this order, from 0.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,14 +246,14 @@ def _rarest(sets: DataFrame) -> DataFrame:
                 grams = np.frombuffer(row["grams"], "<u8")
                 order = np.lexsort((grams, np.frombuffer(row["counts"], "<u4")))[: max(0, take)]
                 rows += [
-                    (gram, row["node"], row["n"], row["shared"])
-                    for gram in grams[order].view("<i8").tolist()
+                    (gram, row["node"], row["n"], row["shared"], at)
+                    for at, gram in enumerate(
+                        grams[order].view("<i8").tolist(), row["n"] - row["shared"]
+                    )
                 ]
-            yield from _rows("gram long, node long, n long, shared long", rows).to_batches()
+            yield from _rows(_MEETING, rows).to_batches()
 
-    return sets.select("node", "n", "shared", "grams", "counts").mapInArrow(
-        run, "gram long, node long, n long, shared long"
-    )
+    return sets.select("node", "n", "shared", "grams", "counts").mapInArrow(run, _MEETING)
 
 
 def _fragments(sets: DataFrame) -> DataFrame:
@@ -353,7 +355,10 @@ def similar_sets(sets: DataFrame) -> DataFrame:
     inside = near.select(F.col("a").alias("node"), F.col("b").alias("_best"), "_both")
     rooted = rooted.join(stored(lists, "lists"), "gram").join(inside, ["node", "_best"], "left")
     rooted = rooted.withColumn("_in", F.expr("if(node = _best, shared, _both)"))
-    rooted = stored(rooted.select("gram", "node", "n", "shared", "root", "_best_root", "_least", "_in"), "rooted")
+    rooted = stored(
+        rooted.select("gram", "node", "n", "shared", "at", "root", "_best_root", "_least", "_in"),
+        "rooted",
+    )
     outside = rooted.where("root <> _best_root").where(
         f"{100 + PERCENT} * shared >= {PERCENT} * (n + _least)"
     )
@@ -362,6 +367,7 @@ def similar_sets(sets: DataFrame) -> DataFrame:
         F.col("node").alias("_node"),
         F.col("n").alias("_n"),
         F.col("shared").alias("_shared"),
+        F.col("at").alias("_at"),
         F.col("root").alias("_root"),
         F.col("_in").alias("_other_in"),
     )
@@ -372,6 +378,8 @@ def similar_sets(sets: DataFrame) -> DataFrame:
         "least(_in, _other_in) + least(shared - _in, _shared - _other_in))"
     )
     far = far.where(f"{100 + PERCENT} * {most} >= {PERCENT} * (n + _n)")
+    # From the first n-gram that two sets share on, each has all that they share.
+    far = far.where(f"{100 + PERCENT} * least(n - at, _n - _at) >= {PERCENT} * (n + _n)")
     far = stored(
         far.select(
             F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")
