@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
     DateType,
@@ -64,6 +65,7 @@ class AuditRun:
     run_id: str = field(default_factory=lambda: str(uuid.uuid4()))
     messages: list[str] = field(default_factory=list)
     events: list[tuple] = field(default_factory=list)
+    saved: int = 0
 
     def __post_init__(self) -> None:
         self._event("Init", self.description)
@@ -102,38 +104,44 @@ class AuditRun:
         return RunFailed(message)
 
     def rows(self) -> DataFrame:
-        return rows_frame(self.spark, self.events, AUDIT_SCHEMA)
+        return self._frame(self.events)
 
     def save(self, table: str) -> bool:
-        """Append the rows to the audit table. Never fails the run."""
+        """Append the rows not saved yet to the audit table. Never fails the run."""
         try:
             if not self.spark.catalog.tableExists(table):
                 self.warn(f"the audit table {table} does not exist", keep=True)
                 return False
-            insert(self.rows(), table)
+            if self.events[self.saved :]:
+                insert(self._frame(self.events[self.saved :]), table)
+                self.saved = len(self.events)
         except Exception as failure:  # a failed job is no PySparkException
             self.error(f"could not save the audit rows in {table}: {failure}")
             return False
         return True
 
+    def _frame(self, events: list[tuple]) -> DataFrame:
+        """Audit rows, each dated by its time in the session's zone."""
+        rows = rows_frame(self.spark, events, AUDIT_SCHEMA)
+        return rows.withColumn("fechaEvento", F.to_date("timestampEvento"))
+
     def _blemish(self, message: str) -> None:
         self.status = "WARN"
         self.messages.append(message)
 
     def _event(self, status: str, description: str | None) -> None:
-        now = datetime.now(timezone.utc)
         self.events.append(
             (
                 self.origin,
                 self.destination,
                 self.process,
-                now,
+                datetime.now(timezone.utc),
                 status,
                 description,
                 self.rows_origin,
                 self.rows_loaded,
                 self.forced,
                 self.run_id,
-                now.date(),
+                None,
             )
         )

@@ -12,8 +12,8 @@ from conform.sources import read_delimited
 
 # Column names, codes and texts of the input and output files.
 CLIENT_SCHEMA = (
-    "`ID_CLIENTE` bigint, `TIPO_ID` int, `NOMBRE CLIENTE` string, "
-    "`CORREO ELECTRONICO` string, `CIUDAD` string, `NUMERO CUENTA` bigint, "
+    "`ID_CLIENTE` string, `TIPO_ID` int, `NOMBRE CLIENTE` string, "
+    "`CORREO ELECTRONICO` string, `CIUDAD` string, `NUMERO CUENTA` string, "
     "`FECHA ACTIVACION` string, `ID_PROUCTO` bigint"
 )
 PRODUCT_SCHEMA = (

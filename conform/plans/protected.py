@@ -9,13 +9,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conform.functions import cipher_key
-from conform.operators import protect, rules_for, standardise, vault_delta
+from conform.operators import protect, rules_for, standardise, unmatched_values, vault_delta
 from conform.operators.protect import VAULT_SCHEMA
+from conform.operators.standardise import VALUE
 from conform.plans.audit import AuditRun
 from conform.sinks import EmptyWriteError, insert, save, update_flag
 from conform.sources import read_table, read_table_or_empty
 
 
+#: Values without a rule that the audit names.
+_NAMED = 5
+
+
 @dataclass(frozen=True)
 class LoadResult:
     """The rows read, the rows written, and the keys added to the vault."""
@@ -65,8 +70,9 @@ def protected_load(
     ``standard_columns`` are replaced by their codes, under the rules for
     ``rules_name`` (the source's own name if not given), the columns of ``groups``
     by hashes; keys not in the vault yet are added to it, encrypted. With a
-    ``flag_location`` the source rows are flagged as loaded, see `update_flag`.
-    With an ``audit_table`` the run is recorded there.
+    ``flag_location`` the source rows are flagged as loaded, see `update_flag`. Rows
+    with a value that no rule covers are neither loaded nor flagged, and the run
+    warns of them. With an ``audit_table`` the run is recorded there.
 
     The vault is written first: if a later step fails, a second run finds its
     keys there and adds none twice. The writes are not one transaction, so the
@@ -88,9 +94,20 @@ def protected_load(
             run.info("no new keys", keep=True)
         loaded = _write(protect(standard, groups, drop=True), target, target_location)
         run.rows_loaded = loaded
+        covered = [
+            (column, rules_for(rules, named, column if by_column else None))
+            for column in standard_columns
+        ]
+        for column, chosen in covered:
+            if lost := _uncovered(frame, chosen, column):
+                run.warn(lost, keep=True)
         if flag_location is not None:
             update_flag(
-                spark, source, F.lit(True) if condition is None else condition, flag_location
+                spark,
+                source,
+                F.lit(True) if condition is None else condition,
+                flag_location,
+                among=[(column, chosen.select(VALUE)) for column, chosen in covered],
             )
     except Exception as failure:  # a failed job is no PySparkException
         raise run.fail(f"could not load {target}: {failure}", audit_table) from failure
@@ -100,6 +117,19 @@ def protected_load(
     return LoadResult(run.rows_origin, loaded, added)
 
 
+def _uncovered(df: DataFrame, rules: DataFrame, column: str) -> str:
+    """Which values no rule covers, and on how many rows; the first few by name."""
+    values = unmatched_values(df, rules, column)
+    told = values.agg(F.count("*").alias("values"), F.sum("rows").alias("rows")).first()
+    if not told["values"]:
+        return ""
+    named = values.where(F.col(column).isNotNull()).orderBy(column).limit(_NAMED).collect()
+    names = "; ".join(str(row[column]) for row in named)
+    return (
+        f"{column}: {told['rows']} rows with {told['values']} values without a rule ({names})"
+    )
+
+
 def _append_keys(keys: DataFrame, vault: str, location: str) -> int:
     try:
         return _write(keys, vault, location)

@@ -1,7 +1,8 @@
 """All kinds of equality joins, the product, the self join, and joins in SQL.
 
-The fact side is all events, keyed by text; the other side is the customers
-with a negative balance. Either side has rows without a partner.
+The fact side is all events, keyed by text: twenty times the user, so that many have
+no customer, and some a fraction, which no key has. The other side is all customers,
+most without an event.
 """
 
 from __future__ import annotations
@@ -14,28 +15,28 @@ from conform.queries.registry import Query, query, table
 from conform.sources import run_sql
 
 _ON = [("user_key", "c_custkey")]
+_SAME_SQL = "l.user_key = cast(r.c_custkey as varchar)"
 
 _SIDES_SQL = """
-    with l as (select event_id, event_type, cast(user_id as varchar) as user_key, value
+    with l as (select event_id, event_type, value,
+                      cast(20 * user_id as varchar) ||
+                      case when event_id % 50 = 0 then '.5' else '' end as user_key
                from events),
-         r as (select c_custkey, c_name, c_acctbal from customer where c_acctbal < 0)
+         r as (select c_custkey, c_name, c_acctbal from customer)
 """
 
 
 def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    fraction = F.when(F.col("event_id") % 50 == 0, ".5").otherwise("")
+    user_key = F.concat((20 * F.col("user_id")).cast("string"), fraction)
     left = table(spark, sf_dir, "events").select(
-        "event_id", "event_type", F.col("user_id").cast("string").alias("user_key"), "value"
+        "event_id", "event_type", user_key.alias("user_key"), "value"
     )
-    right = (
-        table(spark, sf_dir, "customer")
-        .where(F.col("c_acctbal") < 0)
-        .select("c_custkey", "c_name", "c_acctbal")
-    )
-    return left, right
+    return left, table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
 
 
 def _register(name: str, how: str, sql_join: str, columns: str = "l.*, r.*") -> Query:
-    sql = f"{_SIDES_SQL} select {columns} from l {sql_join} r on l.user_key::bigint = r.c_custkey"
+    sql = f"{_SIDES_SQL} select {columns} from l {sql_join} r on {_SAME_SQL}"
 
     @query(sql, name=name)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +61,7 @@ join_cross_cond = _register("join_cross_cond", "cross", "join")
 
 @query(
     _SIDES_SQL
-    + "select r.*, l.* from r left join l on l.user_key::bigint = r.c_custkey"
+    + f"select r.*, l.* from r left join l on {_SAME_SQL}"
 )
 def join_left_hot_right(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, customers = _sides(spark, sf_dir)

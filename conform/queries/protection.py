@@ -89,10 +89,17 @@ def encrypt_random(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(
+    """
+    select c_custkey, sha256(c_name) as "HashValue1",
+           cast(coalesce(4 * ceil(16 * (length(c_name) // 16 + 1) / 3), 0) as int) as size
+    from customer
+    """
+)
 def encrypt_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return protect(customers, [["c_name"]], TRIAL_KEY, drop=True)
+    protected = protect(customers, [["c_name"]], TRIAL_KEY, drop=True)
+    return protected.select("c_custkey", "HashValue1", F.length("AESValue").alias("size"))
 
 
 def _overdrawn_vault(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from conform.queries.registry import fresh_name, scratch, table
 from conform.sinks import save
 
-# Standard codes of market segments; AUTOMOBILE has none.
+# Codes of market segments; AUTOMOBILE has none.
 SEGMENT_CODES = [
     ("BUILDING", "BU"),
     ("MACHINERY", "MA"),
@@ -35,7 +35,7 @@ RULES_SQL = """
     where c_mktsegment <> 'AUTOMOBILE'
     union all
     select distinct substr(o_orderpriority, 1, 1), o_orderpriority, 'ORDERS', 'o_orderpriority'
-    from orders
+    from orders where o_orderpriority not like '5%'
     union all
     select distinct lower(o_orderstatus), o_orderstatus, 'ORDERS', 'o_orderstatus' from orders
     union all
@@ -57,7 +57,12 @@ def rules_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [
         segments,
         segments.withColumn("columna", F.lit("segment")),
-        _rules(orders, "orders", "o_orderpriority", F.substring("o_orderpriority", 1, 1)),
+        _rules(
+            orders.where(~F.col("o_orderpriority").startswith("5")),
+            "orders",
+            "o_orderpriority",
+            F.substring("o_orderpriority", 1, 1),
+        ),
         _rules(orders, "orders", "o_orderstatus", F.lower("o_orderstatus")),
         _rules(part, "part", "p_type", F.substring("p_type", 1, 3)),
     ]

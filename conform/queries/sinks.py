@@ -130,5 +130,5 @@ def schema_gated_move(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     promoted = F.col("p_type").eqNullSafe("PROMO")
     for half in (promoted, ~promoted):
-        move(part.where(half), name, location)
+        move(part.where(half), name, location, partitions=["p_brand"])
     return spark.table(name)

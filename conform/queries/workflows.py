@@ -25,9 +25,10 @@ _DOCUMENT_CODES = [(1, "CC"), (2, "CE"), (3, "PS"), (4, "TI")]
 
 _CLIENT_PRODUCT_SQL = """
     with clients as (
-        select l_orderkey as id, l_linenumber as kind, 'Client ' || l_suppkey as "NOMBRE",
+        select case when l_linenumber = 3 then 'AB' else '' end || l_orderkey as id,
+               l_linenumber as kind, 'Client ' || l_suppkey as "NOMBRE",
                'client' || l_suppkey || '@example.com' as "EMAIL", l_returnflag as "CIUDAD",
-               l_orderkey as "NUMERO_CUENTA",
+               cast(l_orderkey as varchar) as "NUMERO_CUENTA",
                strftime(l_shipdate, '%d/%m/%Y') as "FECHA_ACTIVACION", l_partkey as product
         from lineitem),
     products as (
@@ -43,7 +44,7 @@ _CLIENT_PRODUCT_SQL = """
                as "DESC_ESTADO",
            case "ESTADO" when 0 then 'Maestro' when 1 then 'Transaccion' else 'N/A' end
                as "SCHEMA",
-           sha256(code || cast(c.id as varchar)) as "SHA-256"
+           sha256(code || c.id) as "SHA-256"
     from clients c
     join codes on c.kind = codes.id
     join products p on c.product = p.id
@@ -52,13 +53,15 @@ _CLIENT_PRODUCT_SQL = """
 
 def _client_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     supplier = F.col("l_suppkey").cast("string")
+    order = F.col("l_orderkey").cast("string")
+    letters = F.when(F.col("l_linenumber") == 3, "AB").otherwise("")  # as passports have
     clients = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("ID_CLIENTE"),
+        F.concat(letters, order).alias("ID_CLIENTE"),
         F.col("l_linenumber").alias("TIPO_ID"),
         F.concat(F.lit("Client "), supplier).alias("NOMBRE CLIENTE"),
         F.concat(F.lit("client"), supplier, F.lit("@example.com")).alias("CORREO ELECTRONICO"),
         F.col("l_returnflag").alias("CIUDAD"),
-        F.col("l_orderkey").alias("NUMERO CUENTA"),
+        order.alias("NUMERO CUENTA"),
         F.date_format("l_shipdate", "dd/MM/yyyy").alias("FECHA ACTIVACION"),
         F.col("l_partkey").alias("ID_PROUCTO"),
     )
@@ -165,7 +168,12 @@ def protected_load_vault(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""
-    select {", ".join(_SOURCE)}, case when o_orderstatus <> 'P' then '1' else '0' end as flag
+    with rules as (select * from ({RULES_SQL}) as r where tabla = 'ORDERS')
+    select {", ".join(_SOURCE)},
+           case when o_orderstatus <> 'P'
+                and exists (select 1 from rules where columna = 'o_orderpriority'
+                            and homologacion = o_orderpriority)
+                then '1' else '0' end as flag
     from orders
     """
 )
@@ -188,15 +196,24 @@ _AUDIT_COLUMNS = [
     + """
     select 'DataTransformation' as "nombreProceso", 'Init' as estado,
            'protected load' as descripcion, 0 as "cantidadRegistrosOrigen",
-           0 as "cantidadRegistrosCargados", false as "cargaForzada"
+           0 as "cantidadRegistrosCargados", false as "cargaForzada", true as dated
     union all
-    select 'DataTransformation', 'OK', '',
+    select 'DataTransformation', 'WARN',
+           (select 'o_orderpriority: ' || count(*) || ' rows with '
+                   || (count(distinct o_orderpriority)
+                       + max(case when o_orderpriority is null then 1 else 0 end))
+                   || ' values without a rule ('
+                   || string_agg(distinct o_orderpriority, '; ' order by o_orderpriority) || '), '
+            from orders
+            where o_orderstatus <> 'P' and (o_orderpriority is null or o_orderpriority like '5%')),
            (select count(*) from orders where o_orderstatus <> 'P'),
-           (select count(*) from loaded), false
+           (select count(*) from loaded), false, true
     """
 )
 def audit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.table(_load(spark, sf_dir)["audit"]).select(*_AUDIT_COLUMNS)
+    audit = spark.table(_load(spark, sf_dir)["audit"])
+    dated = F.col("fechaEvento") == F.to_date("timestampEvento")
+    return audit.select(*_AUDIT_COLUMNS, dated.alias("dated"))
 
 
 @query(

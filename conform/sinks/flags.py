@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from conform.operators.joins import equi_join
 from conform.sinks.counting import clustered, write_counted
-from conform.sinks.tables import partition_columns
+from conform.sinks.tables import described, partition_columns
 
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+_MEETS = "__meets"
 
 
 def flagged(
@@ -31,9 +33,13 @@ def update_flag(
     flag: str = "flag",
     value: str = "1",
     table_format: str = "parquet",
+    among: Sequence[tuple[str, DataFrame]] = (),
 ) -> int:
     """Set ``flag`` on the rows of a table that meet ``condition``.
 
+    ``among`` gives columns with a frame of one column each: only rows whose value is
+    in it are flagged.
+
     Of a partitioned table the partitions with such rows are written again, in
     place. Another table is written anew to ``location``, which must
     be unused, and the table is then pointed there; its old files stay.
@@ -44,20 +50,39 @@ def update_flag(
     if flag in names:
         # A partition that loses all its rows would stay, one that gains some lose its own.
         raise ValueError(f"{flag} is a partition column of {table}; its rows would have to move")
+    marked = _marked(source, condition, among)
     if not names:
         rows = write_counted(
-            flagged(source, condition, flag, value),
+            flagged(marked, F.col(_MEETS), flag, value).select(*source.columns),
             lambda out: out.write.format(table_format).mode("error").save(location),
         )
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+        quoted = location.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{quoted}'")
     else:
-        affected = _affected(source, condition, names)
-        updated = clustered(flagged(affected, condition, flag, value), names)
-        rows = write_counted(updated, lambda out: _replace_partitions(spark, out, table))
+        affected = _affected(marked, F.col(_MEETS), names)
+        updated = flagged(affected, F.col(_MEETS), flag, value).select(*source.columns)
+        rows = write_counted(
+            clustered(updated, names), lambda out: _replace_partitions(out, table, names)
+        )
     spark.catalog.refreshTable(table)
     return rows
 
 
+def _marked(
+    source: DataFrame, condition: Column | str, among: Sequence[tuple[str, DataFrame]]
+) -> DataFrame:
+    """The rows with a column that says which to flag."""
+    meets = F.expr(condition) if isinstance(condition, str) else condition
+    df = source.withColumn(_MEETS, F.coalesce(meets, F.lit(False)))
+    for number, (column, values) in enumerate(among):
+        key, known = f"__value{number}", f"__known{number}"
+        listed = values.toDF(key).where(F.col(key).isNotNull()).distinct()
+        df = equi_join(df, listed.withColumn(known, F.lit(True)), [(column, key)], "left")
+        df = df.withColumn(_MEETS, F.col(_MEETS) & F.coalesce(known, F.lit(False)))
+        df = df.drop(key, known)
+    return df
+
+
 def _affected(source: DataFrame, condition: Column | str, names: list[str]) -> DataFrame:
     """The partitions that have rows which meet the condition, whole.
 
@@ -74,10 +99,8 @@ def _affected(source: DataFrame, condition: Column | str, names: list[str]) -> D
     return whole.select(*source.columns).unionByName(partly)
 
 
-def _replace_partitions(spark: SparkSession, df: DataFrame, table: str) -> None:
-    before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
-    try:
-        df.write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(_OVERWRITE_MODE, before)
+def _replace_partitions(df: DataFrame, table: str, names: list[str]) -> None:
+    """Write to the table's own folder: there the mode is the write's, not the session's."""
+    about = described(df.sparkSession, table)
+    writer = df.write.format(about["Provider"]).mode("overwrite").partitionBy(*names)
+    writer.option("partitionOverwriteMode", "dynamic").save(about["Location"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from conform.operators.columns import project_like
 from conform.operators.schema import same_schema
@@ -51,9 +51,10 @@ def save(
     return rows
 
 
-def insert(df: DataFrame, table: str) -> int:
+def insert(df: DataFrame, table: str, drop_others: bool = False) -> int:
     """Append to an existing table, matching columns by name.
 
+    Columns that the table lacks are refused unless ``drop_others`` leaves them out.
     Returns the rows written; without any, raises `EmptyWriteError`.
     """
     target = df.sparkSession.table(table)
@@ -61,6 +62,10 @@ def insert(df: DataFrame, table: str) -> int:
     missing = [name for name in target.columns if name.lower() not in given]
     if missing:
         raise SchemaMismatchError(f"{table} needs the columns {', '.join(missing)}")
+    known = {name.lower() for name in target.columns}
+    others = [name for name in df.columns if name.lower() not in known]
+    if others and not drop_others:
+        raise SchemaMismatchError(f"{table} has no columns {', '.join(others)}")
     arranged = _arranged(project_like(df, target), table)
     rows = write_counted(arranged, lambda out: out.write.insertInto(table))
     if not rows:
@@ -78,24 +83,36 @@ def move(
 ) -> int:
     """Insert into a table of the same schema, or create it.
 
-    ``strict`` also compares nullability, see `same_schema`.
+    ``strict`` also compares nullability, see `same_schema`. A table has its
+    partition columns last, wherever they are among the rows' columns.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         return save(df, table, location, table_format, partitions)
+    last = [name for name in partition_columns(df, table) if name in df.columns]
+    df = df.select(*(f"`{name}`" for name in df.columns if name not in last), *last)
     if not same_schema(spark.table(table).schema, df.schema, strict):
         raise SchemaMismatchError(f"the schema of the rows is not that of {table}")
     return insert(df, table)
 
 
 def _arranged(df: DataFrame, table: str) -> DataFrame:
-    """The rows of an output partition or bucket together, to write few files."""
+    """The rows of an output partition or bucket together, to write few files.
+
+    Spark splits a bucket that is too large for a task into several files.
+    """
     buckets = [c.name for c in df.sparkSession.catalog.listColumns(table) if c.isBucket]
     if not buckets:
         return clustered(df, partition_columns(df, table))
-    described = df.sparkSession.sql(f"DESCRIBE EXTENDED {table}")
-    count = described.where("col_name = 'Num Buckets'").first()["data_type"]
-    return df.repartition(int(count), *buckets)
+    count = described(df.sparkSession, table)["Num Buckets"]
+    return df.hint("rebalance", int(count), *buckets)
+
+
+def described(spark: SparkSession, table: str) -> dict[str, str]:
+    """What the catalog says of a table, beside its columns."""
+    rows = spark.sql(f"DESCRIBE EXTENDED {table}").collect()
+    starts = [n for n, row in enumerate(rows) if row["col_name"].startswith("# Detailed")]
+    return {row["col_name"]: row["data_type"] for row in rows[starts[-1] :]}
 
 
 def partition_columns(df: DataFrame, table: str) -> list[str]:

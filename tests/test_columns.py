@@ -17,7 +17,7 @@ from conform.operators import (
     split_to_columns,
 )
 from conform.sources import rows_frame
-from tests.data import people_languages, people_salary, plan_of, tuples
+from tests.data import plan_of, routes, ships, tuples
 
 
 def test_clean_headers(spark):
@@ -43,44 +43,44 @@ def test_value_map_with_and_without_default(spark):
 
 
 def test_add_replace_and_null_columns(spark):
-    df = people_salary(spark).select("id", "salary")
-    assert add_column(df, "twice", F.col("salary") * 2).first() == ("36636", 3000, 6000)
-    assert add_column(df, "salary", F.col("salary") * 100).first() == ("36636", 300000)
-    nulled = null_column(df, "id", "date")
-    assert nulled.dtypes == [("id", "date"), ("salary", "int")]
-    assert nulled.first() == (None, 3000)
+    df = ships(spark).select("number", "crew")
+    assert add_column(df, "twice", F.col("crew") * 2).first() == ("PX-204", 18, 36)
+    assert add_column(df, "crew", F.col("crew") * 100).first() == ("PX-204", 1800)
+    nulled = null_column(df, "number", "date")
+    assert nulled.dtypes == [("number", "date"), ("crew", "int")]
+    assert nulled.first() == (None, 18)
 
 
 def test_structs(spark):
-    flat = flatten_struct(people_salary(spark), "name")
-    assert flat.columns == ["firstname", "middlename", "lastname", "id", "gender", "salary"]
-    assert flat.first()[:3] == ("James ", "", "Smith")
+    flat = flatten_struct(ships(spark), "ship")
+    assert flat.columns == ["maker", "series", "hull", "number", "kind", "crew"]
+    assert flat.first()[:3] == ("Norda ", "", "K-12")
 
 
 def test_filters_on_arrays_and_structs(spark):
-    df = people_languages(spark)
-    assert df.filter(df.state == "OH").count() == 3
-    assert df.filter("gender == 'M'").count() == 4
-    assert df.filter((df.state == "OH") & (df.gender == "M")).count() == 2
-    assert df.filter(F.array_contains("languages", "Java")).count() == 2
-    assert df.filter(F.col("name.lastname") == "Williams").count() == 2
+    df = routes(spark)
+    assert df.filter(df.sea == "north").count() == 2
+    assert df.filter("kind == 'cargo'").count() == 3
+    assert df.filter((df.sea == "east") & (df.kind == "cargo")).count() == 2
+    assert df.filter(F.array_contains("ports", "Riga")).count() == 2
+    assert df.filter(F.col("ship.maker") == "Velu").count() == 2
 
 
 def test_split_keeps_blanks_and_gives_null_beyond_the_end(spark):
     df = rows_frame(
         spark,
-        [("Robert, Smith", "1 Main st, Newark, NJ, 92537"), ("Maria, Garcia", "3456 Walnut st")],
-        "name string, address string",
+        [("Tinte; blau", "Regal 4; Fach b; links; 17"), ("Papier; rau", "Regal 11")],
+        "ware string, lager string",
     )
-    names = split_to_columns(df, "name", ["first", "last"])
-    assert names.columns == ["address", "first", "last"]
-    assert names.first() == ("1 Main st, Newark, NJ, 92537", "Robert", " Smith")
-    pieces = df.select(*split_pieces(F.col("address"), 4))
+    names = split_to_columns(df, "ware", ["was", "wie"], ";")
+    assert names.columns == ["lager", "was", "wie"]
+    assert names.first() == ("Regal 4; Fach b; links; 17", "Tinte", " blau")
+    pieces = df.select(*split_pieces(F.col("lager"), 4, ";"))
     assert pieces.collect() == [
-        ("1 Main st", " Newark", " NJ", " 92537"), ("3456 Walnut st", None, None, None)
+        ("Regal 4", " Fach b", " links", " 17"), ("Regal 11", None, None, None)
     ]
     assert df.select(*split_pieces(F.lit("a.b|c"), 2, ".")).first() == ("a", "b|c")
-    assert split_to_columns(df, "name", ["name", "last"]).first()[0] == "Robert"
+    assert split_to_columns(df, "ware", ["ware", "wie"], ";").first()[0] == "Tinte"
 
 
 def test_concat_key(spark):
@@ -92,18 +92,18 @@ def test_concat_key(spark):
 
 
 def test_combine_columns(spark):
-    df = people_salary(spark).select("name.*", "salary")
-    combined = combine_columns(df, ["firstname", "middlename", "lastname"], "full")
-    assert combined.columns == ["salary", "full"]
-    assert combined.first() == (3000, "James ,,Smith")
+    df = ships(spark).select("ship.*", "crew")
+    combined = combine_columns(df, ["maker", "series", "hull"], "full")
+    assert combined.columns == ["crew", "full"]
+    assert combined.first() == (18, "Norda ,,K-12")
 
 
 def test_hash_and_drop(spark):
-    df = rows_frame(spark, [("CC", 49504366, "x")], "kind string, id int, rest string")
+    df = rows_frame(spark, [("CC", 83120457, "x")], "kind string, id int, rest string")
     hashed = hash_and_drop(df, ["kind", "id"], "SHA-256")
     assert hashed.columns == ["rest", "SHA-256"]
     assert hashed.first()[1] == (
-        "64b2992825d411f3d60bf838d7a972318cce3ada3f36b17c17af499d0eaddcd2"
+        "a20011168dbc433f470293d6731e2ec607f717ba8aaaca2e019c309af4096bfe"
     )
     assert hash_and_drop(df, ["kind", "id"], "h", drop=["rest"]).columns == ["kind", "id", "h"]
 

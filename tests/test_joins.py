@@ -6,21 +6,21 @@ from pyspark.sql import functions as F
 from conform.operators import equi_join
 from conform.operators.joins import JOIN_KINDS
 from conform.sources import rows_frame
-from tests.data import dept, emp, tuples
+from tests.data import depots, parcels, plan_of, tuples
 
-# rows and columns of the six employees joined with the four departments
+# rows and columns of the seven parcels joined with the four depots
 SIZES = {
-    "inner": (5, 9),
-    "outer": (7, 9),
-    "full": (7, 9),
-    "fullouter": (7, 9),
-    "right": (6, 9),
-    "rightouter": (6, 9),
-    "left": (6, 9),
-    "leftouter": (6, 9),
-    "leftanti": (1, 7),
-    "leftsemi": (5, 7),
-    "cross": (5, 9),
+    "inner": (5, 7),
+    "outer": (8, 7),
+    "full": (8, 7),
+    "fullouter": (8, 7),
+    "right": (6, 7),
+    "rightouter": (6, 7),
+    "left": (7, 7),
+    "leftouter": (7, 7),
+    "leftanti": (2, 5),
+    "leftsemi": (5, 5),
+    "cross": (5, 7),
 }
 HOT = [(), ("left",), ("right",), ("left", "right")]
 PLAIN = {"inner": "inner", "left": "left", "right": "right", "full": "full",
@@ -29,26 +29,47 @@ PLAIN = {"inner": "inner", "left": "left", "right": "right", "full": "full",
 
 @pytest.mark.parametrize("how", SIZES)
 def test_sizes(spark, how):
-    df = equi_join(emp(spark), dept(spark), [("emp_dept_id", "dept_id")], how)
+    df = equi_join(parcels(spark), depots(spark), [("depot", "depot_id")], how)
     assert (df.count(), len(df.columns)) == SIZES[how]
 
 
 def test_names_of_joins(spark):
-    assert equi_join(emp(spark), dept(spark), [("emp_dept_id", "dept_id")], "LEFT_OUTER").count()
+    assert equi_join(parcels(spark), depots(spark), [("depot", "depot_id")], "LEFT_OUTER").count()
     with pytest.raises(ValueError):
-        equi_join(emp(spark), dept(spark), [("emp_dept_id", "dept_id")], "asof")
+        equi_join(parcels(spark), depots(spark), [("depot", "depot_id")], "asof")
     with pytest.raises(ValueError):
-        equi_join(emp(spark), dept(spark), [("emp_dept_id", "dept_id")], hot=("both",))
+        equi_join(parcels(spark), depots(spark), [("depot", "depot_id")], hot=("both",))
     assert set(JOIN_KINDS.values()) == set(PLAIN)
 
 
 def test_text_that_is_no_number_matches_nothing(spark):
-    more = rows_frame(spark, [(7, "Doe", 1, "2011", "ten", "F", 1)], emp(spark).schema)
-    people = emp(spark).unionByName(more)
-    on = [("emp_dept_id", "dept_id")]
-    assert equi_join(people, dept(spark), on).count() == 5
-    assert equi_join(people, dept(spark), on, "left").count() == 7
-    assert equi_join(dept(spark), people, [("dept_id", "emp_dept_id")], "anti").count() == 1
+    more = rows_frame(spark, [(108, "mat", 101, "seven", 1)], parcels(spark).schema)
+    sent = parcels(spark).unionByName(more)
+    on = [("depot", "depot_id")]
+    assert equi_join(sent, depots(spark), on).count() == 5
+    assert equi_join(sent, depots(spark), on, "left").count() == 8
+    assert equi_join(depots(spark), sent, [("depot_id", "depot")], "anti").count() == 1
+
+
+def test_a_fraction_matches_a_whole_key_only_if_cut_off(spark):
+    texts = rows_frame(spark, [("7.9",), ("7",), ("12.0",)], "depot string")
+    for hot in HOT:
+        on = [("depot", "depot_id")]
+        assert tuples(equi_join(texts, depots(spark), on, "semi", hot)) in ([("7",)], [("12.0",), ("7",)])
+        assert ("7.9",) in tuples(equi_join(texts, depots(spark), on, "semi", hot, truncate=True))
+        assert ("7.9",) in tuples(equi_join(texts, depots(spark), on, "anti", hot))
+
+
+def test_a_key_is_cast_once(spark, capsys):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = equi_join(parcels(spark), depots(spark), [("depot", "depot_id")], hot=())
+        plan = plan_of(joined, capsys)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "__cast" in plan and not any("__cast" in name for name in joined.columns)
+    exchanges = [line for line in plan.splitlines() if "hashpartitioning" in line]
+    assert exchanges and not any("cast(" in line.lower() for line in exchanges)
 
 
 def test_text_is_compared_with_a_date_as_a_date(spark):
@@ -59,11 +80,11 @@ def test_text_is_compared_with_a_date_as_a_date(spark):
 
 
 def test_product_and_self_join(spark):
-    assert emp(spark).crossJoin(dept(spark)).count() == 24
-    a, b = emp(spark).alias("a"), emp(spark).alias("b")
-    assert a.join(b, F.col("a.superior_emp_id") == F.col("b.emp_id")).count() == 5
-    superiors = emp(spark).select(F.col("emp_id").alias("id"), F.col("name").alias("superior"))
-    assert equi_join(emp(spark), superiors, [("superior_emp_id", "id")]).count() == 5
+    assert parcels(spark).crossJoin(depots(spark)).count() == 28
+    a, b = parcels(spark).alias("a"), parcels(spark).alias("b")
+    assert a.join(b, F.col("a.follows") == F.col("b.parcel")).count() == 5
+    before = parcels(spark).select(F.col("parcel").alias("id"), F.col("item").alias("earlier"))
+    assert equi_join(parcels(spark), before, [("follows", "id")]).count() == 5
 
 
 @pytest.fixture(scope="module")

@@ -18,20 +18,20 @@ from conform.operators import (
     same_schema,
 )
 from conform.sources import rows_frame
-from tests.data import people_languages
+from tests.data import routes
 
 
 def test_names_and_types(spark):
-    df = people_languages(spark).select(
-        F.col("name").alias("NAME"),
-        "languages",
+    df = routes(spark).select(
+        F.col("ship").alias("SHIP"),
+        "ports",
         F.lit(1).alias("One"),
         F.lit(1.5).cast("decimal(10,2)").alias("d"),
         F.current_timestamp().alias("t"),
     )
-    assert column_names(df) == ["name", "languages", "one", "d", "t"]
+    assert column_names(df) == ["ship", "ports", "one", "d", "t"]
     assert column_names_types(df) == [
-        "name-!-struct", "languages-!-array", "one-!-integer", "d-!-decimal(10,2)",
+        "ship-!-struct", "ports-!-array", "one-!-integer", "d-!-decimal(10,2)",
         "t-!-timestamp",
     ]
     assert not_null_columns(df) == ["one", "t"]

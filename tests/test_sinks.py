@@ -95,7 +95,9 @@ def test_insert_goes_by_name(spark, df, table, tmp_path, partitions):
     shuffled = df.select(
         "flag", F.lit("more").alias("extra"), "city", (F.col("id") + 10).alias("ID")
     )
-    assert insert(shuffled, table) == 4
+    with pytest.raises(SchemaMismatchError, match="extra"):
+        insert(shuffled, table)
+    assert insert(shuffled, table, drop_others=True) == 4
     assert tuples(spark.table(table).select("id", "city").where("id > 10")) == [
         (11, "Cali"), (12, "Bogotá"), (13, "Cali"), (14, None)
     ]
@@ -121,6 +123,23 @@ def test_move_checks_the_schema(spark, df, table, tmp_path):
     assert spark.table(table).count() == 12
 
 
+def test_move_goes_on_where_a_middle_column_partitions(spark, df, table, tmp_path):
+    for _ in range(3):
+        assert move(df, table, str(tmp_path / "t"), partitions=["city"]) == 4
+    assert spark.table(table).columns == ["id", "flag", "city"]
+    assert spark.table(table).count() == 12
+
+
+@pytest.mark.parametrize("partitions", [(), ("city",)])
+def test_update_flag_among_values(spark, df, table, tmp_path, partitions):
+    save(df, table, str(tmp_path / "t"), partitions=partitions)
+    places = rows_frame(spark, [("Cali",), ("Cali",), (None,)], "place string")
+    update_flag(spark, table, "id < 9", str(tmp_path / "new's"), among=[("city", places)])
+    assert tuples(spark.table(table).select("id", "flag")) == [
+        (1, "1"), (2, "0"), (3, "1"), (4, "0")
+    ]
+
+
 def test_flagged_leaves_rows_of_an_unknown_condition(df):
     assert [row.flag for row in flagged(df, "city = 'Cali'").orderBy("id").collect()] == [
         "1", "0", "1", "0"

@@ -14,7 +14,7 @@ from conform.sources import (
     run_sql,
     table_exists,
 )
-from tests.data import emp, people_salary, tuples
+from tests.data import parcels, ships, tuples
 
 SCHEMA = "`a b` int, c string"
 
@@ -61,11 +61,9 @@ def test_schema_and_inference_exclude_each_other(spark, shards):
 
 
 def test_nested_rows(spark):
-    df = people_salary(spark)
-    assert df.select("name.lastname", "salary").first() == ("Smith", 3000)
-    assert df.dtypes[0] == (
-        "name", "struct<firstname:string,middlename:string,lastname:string>"
-    )
+    df = ships(spark)
+    assert df.select("ship.hull", "crew").first() == ("K-12", 18)
+    assert df.dtypes[0] == ("ship", "struct<maker:string,series:string,hull:string>")
 
 
 def test_rows_have_a_known_size(spark, capsys):
@@ -96,19 +94,19 @@ def test_an_empty_frame_keeps_its_columns(spark):
 
 
 def test_catalog_tables(spark, tmp_path):
-    emp(spark).write.option("path", str(tmp_path / "t")).saveAsTable("source_emp")
-    assert table_exists(spark, "source_emp")
-    assert read_table(spark, "source_emp").count() == 6
-    assert read_table(spark, "source_emp", "salary > 2000").count() == 2
-    assert read_table_or_empty(spark, "source_emp", "x int").count() == 6
-    spark.sql("drop table source_emp")
-    assert not table_exists(spark, "source_emp")
-    assert read_table_or_empty(spark, "source_emp", "x int").columns == ["x"]
+    parcels(spark).write.option("path", str(tmp_path / "t")).saveAsTable("source_parcels")
+    assert table_exists(spark, "source_parcels")
+    assert read_table(spark, "source_parcels").count() == 7
+    assert read_table(spark, "source_parcels", "price > 500").count() == 2
+    assert read_table_or_empty(spark, "source_parcels", "x int").count() == 7
+    spark.sql("drop table source_parcels")
+    assert not table_exists(spark, "source_parcels")
+    assert read_table_or_empty(spark, "source_parcels", "x int").columns == ["x"]
     with pytest.raises(AnalysisException):
-        read_table(spark, "source_emp")
+        read_table(spark, "source_parcels")
 
 
 def test_sql_over_named_frames(spark):
-    df = run_sql(spark, "select name from {people} where salary > {least}".replace(
-        "{least}", "2000"), people=emp(spark))
-    assert tuples(df) == [("Rose",), ("Smith",)]
+    df = run_sql(spark, "select item from {sent} where price > {least}".replace(
+        "{least}", "500"), sent=parcels(spark))
+    assert tuples(df) == [("desk",), ("rug",)]
