@@ -37,6 +37,7 @@ class Tokens:
         ).split if self.special else lambda text: [text]
         self.pieces = regex.compile(pattern).findall
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def ids(self, documents: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each document."""
@@ -45,10 +46,12 @@ class Tokens:
             for text in documents
         ]
         if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        new = list({p for part in parts for p in part if p not in self.known})
-        known = self.known
+            self.before, self.known = self.known, {}
+        known, before = self.known, self.before
         known.update(self.special)
+        wanted = set().union(*parts).difference(known)
+        known.update((p, before[p]) for p in wanted if p in before)
+        new = list(wanted.difference(known))
         for encoded, piece in zip(
             self.tokenizer.encode_batch(new, add_special_tokens=False), new, strict=True
         ):
