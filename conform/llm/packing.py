@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from bisect import bisect_right
 from functools import lru_cache
 
 import numpy as np
-import regex
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,47 +17,68 @@ from conform.llm.arrow import map_blocks, texts
 from conform.llm.tables import ordered, stored
 
 CAPACITY = 2048
-REMEMBERED = 300_000
 #: Fillings that the search may look at for one bin, and bins that it may fill in all.
 FILLINGS, STEPS = 400, 8_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+def _ranks(path: str) -> tuple[dict[bytes, int], dict[str, int]] | None:
+    """Bytes and ids of a file's tokens, and its special ones; None if ids are not ranks.
+
+    They are if the file is plain byte-level BPE whose merges make the ids in order.
+    A byte is written as the character of its number if that can be seen, the others
+    as the characters from 256 on.
+    """
+    with open(path, encoding="utf-8") as file:
+        stored = json.load(file)
+    model, split = stored["model"], stored["pre_tokenizer"] or {}
+    vocabulary, special = model["vocab"], {t["content"]: t["id"] for t in stored["added_tokens"]}
+    made = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
+    if (
+        (model["type"], split.get("type"), split.get("add_prefix_space")) != ("BPE", "ByteLevel", False)
+        or stored["normalizer"]
+        or model["dropout"]
+        or any(vocabulary.get(token) != 256 + at for at, token in enumerate(made))
+        or any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in stored["added_tokens"])
+    ):
+        return None
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(b): b for b in seen}
+    byte |= {chr(256 + at): b for at, b in enumerate(sorted({*range(256)}.difference(seen)))}
+    ranks = {
+        bytes(map(byte.__getitem__, token)): i
+        for token, i in vocabulary.items()
+        if token not in special
+    }
+    return ranks, special
+
+
 class Tokens:
-    """A tokenizer's ids as bytes, with a bounded memory of pieces."""
+    """Ids by a tokenizer's file, as little-endian unsigned 32-bit numbers.
+
+    Where the file's ids are the ranks of its merges, tiktoken finds the same ids in
+    a fourth of the time. Its pattern gives up on runs of very many blanks; such
+    texts, and files of another kind, go to the tokenizers library.
+    """
 
     def __init__(self, path: str, pattern: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        special = self.tokenizer.get_added_tokens_decoder()
-        self.special = {t.content: np.uint32(i).tobytes() for i, t in special.items()}
-        self.split = regex.compile(
-            "(" + "|".join(map(regex.escape, sorted(self.special, key=len)[::-1])) + ")"
-        ).split if self.special else lambda text: [text]
-        self.pieces = regex.compile(pattern).findall
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
-
-    def ids(self, documents: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each document."""
-        parts = [
-            [p for s in self.split(text) for p in ([s] if s in self.special else self.pieces(s))]
-            for text in documents
-        ]
-        if len(self.known) >= REMEMBERED:
-            self.before, self.known = self.known, {}
-        known, before = self.known, self.before
-        known.update(self.special)
-        wanted = set().union(*parts).difference(known)
-        known.update((p, before[p]) for p in wanted if p in before)
-        new = list(wanted.difference(known))
-        for encoded, piece in zip(
-            self.tokenizer.encode_batch(new, add_special_tokens=False), new, strict=True
-        ):
-            known[piece] = np.array(encoded.ids, dtype="<u4").tobytes()
-        return [b"".join(map(known.__getitem__, part)) for part in parts]
+        found = _ranks(path)
+        self.encoding = found and tiktoken.Encoding(
+            "file", pat_str=pattern, mergeable_ranks=found[0], special_tokens=found[1]
+        )
+
+    def ids(self, text: str) -> bytes:
+        if self.encoding:
+            try:
+                return self.encoding.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
+            except ValueError:
+                pass
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return np.array(ids, dtype="<u4").tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -218,11 +240,9 @@ def pieces(documents: DataFrame, path: str, pattern: str, capacity: int = CAPACI
 
     def encoded(block):
         rows = []
-        end = np.uint32(0).tobytes()
-        for doc_id, ids in zip(
-            block.column("doc_id").to_pylist(), tokens(path, pattern).ids(texts(block)), strict=True
-        ):
-            for number, (start, length, crc) in enumerate(cut(ids + end, capacity)):
+        ids, end = tokens(path, pattern).ids, np.uint32(0).tobytes()
+        for doc_id, text in zip(block.column("doc_id").to_pylist(), texts(block), strict=True):
+            for number, (start, length, crc) in enumerate(cut(ids(text) + end, capacity)):
                 rows.append((doc_id, number, start, length, crc))
         return list(map(list, zip(*rows, strict=True)))
 

@@ -18,7 +18,7 @@ from conform.llm import ORACLE_SQL, QUERIES
 from conform.llm.byte_bpe import PrefixEncoder
 from conform.llm.exact_dedup import duplicates
 from conform.llm.licenses import notices
-from conform.llm.packing import least_bins, pack
+from conform.llm.packing import least_bins, pack, tokens
 from conform.llm.repeats import previous_factors, repeated, suffix_order
 from conform.llm.toxicity import GRADES, features, fit
 from tests.oracle import connect, differences
@@ -105,6 +105,20 @@ def test_packing(spark, folder):
     assert len(sequences) == least_bins(Counter(r["length"] for r in found), 2048)
 
 
+def test_ids_are_those_of_the_tokenizers_library():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    points = [chr(c) for c in range(0x20000) if not 0xD800 <= c < 0xE000]
+    long = [" " * 300_000 + "x", "a" * 50_000, "\n " * 1000 + "!" * 3000]
+    texts = [c.join(["a", "b ", " ", "1", "!", "  ", "c"]) for c in points] + long
+    found = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    own = tokens(path, public_tokenizers.PATTERN)
+    assert own.encoding
+    for text, encoded in zip(texts, found, strict=True):
+        assert own.ids(text) == np.array(encoded.ids, dtype="<u4").tobytes()
+
+
 def test_bin_completion_beats_best_fit():
     # Best fit pairs 6 with 4 and needs three bins of ten for what fits two.
     counts = {6: 1, 5: 1, 3: 1, 2: 3}
