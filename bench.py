@@ -11,6 +11,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -62,7 +63,7 @@ HEADLINES = [
 ]
 
 
-def session(cpus: str) -> SparkSession:
+def session(cpus: str, folder: str) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("conform-bench")
@@ -70,6 +71,8 @@ def session(cpus: str) -> SparkSession:
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "4g"))
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", f"{folder}/scratch")
+        .config("spark.sql.warehouse.dir", f"{folder}/warehouse")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -89,15 +92,16 @@ def main() -> None:
     chosen = os.environ.get("BENCH_QUERIES", "")
     names = sorted(QUERIES) if chosen == "all" else chosen.split(",") if chosen else HEADLINES
 
-    spark = session(cpus)
     seconds = {}
-    for name in names:
-        timed(spark, name, sf_dir)
-        seconds[name] = round(
-            statistics.median(timed(spark, name, sf_dir) for _ in range(runs)), 4
-        )
-        print(f"{name}: {seconds[name]}", file=sys.stderr)
-    spark.stop()
+    with tempfile.TemporaryDirectory(prefix="bench-", ignore_cleanup_errors=True) as folder:
+        spark = session(cpus, folder)
+        for name in names:
+            timed(spark, name, sf_dir)
+            seconds[name] = round(
+                statistics.median(timed(spark, name, sf_dir) for _ in range(runs)), 4
+            )
+            print(f"{name}: {seconds[name]}", file=sys.stderr)
+        spark.stop()
     print(
         json.dumps(
             {

@@ -50,16 +50,25 @@ def new_keys(
     hash_column: str = "HashValue1",
     cipher_column: str = "AESValue1",
     dedup: bool = False,
+    bucketed: bool = False,
 ) -> DataFrame:
     """The hash and cipher of the rows whose hash the vault does not hold.
 
-    Null hashes are left out and repeats kept, unless ``dedup`` is set.
+    Null hashes are left out and repeats kept, unless ``dedup`` is set. Spark splits a
+    hot key only where both sides come from a shuffle, and a bucketed vault does not.
+    With ``bucketed`` the distinct hashes are looked up there, without moving it, and
+    the rows then keep to those not found; this reads ``df`` twice.
     """
     keys = df.select(
         F.col(hash_column).alias(HASH), F.col(cipher_column).alias(CIPHER)
     ).where(F.col(HASH).isNotNull())
     if dedup:
         return _unseen(keys.dropDuplicates([HASH]), vault)
+    if bucketed:
+        # Dealt by their beginnings, or Spark would keep the vault's partitioning.
+        unseen = _unseen(keys.select(HASH).distinct(), vault)
+        unseen = unseen.repartition(F.substring(HASH, 1, 8))
+        return keys.join(unseen, HASH, "left_semi")
     return equi_join(keys, vault, [(HASH, HASH)], "anti", hot=("left", "right"))
 
 

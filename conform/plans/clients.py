@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conform.functions import value_map
 from conform.operators import clean_headers, equi_join, hash_and_drop
 from conform.sinks import write_partitioned
-from conform.sources import read_delimited
+from conform.sources import read_delimited, read_delimited_checked
+from conform.sources.delimited import RECORD
 
 # Column names, codes and texts of the input and output files.
 CLIENT_SCHEMA = (
@@ -77,16 +80,34 @@ def client_product(clients: DataFrame, codes: DataFrame, products: DataFrame) ->
 
 
 def ingest(
-    spark: SparkSession, clients: str, codes: str, products: str, output: str
+    spark: SparkSession,
+    clients: str,
+    codes: str,
+    products: str,
+    output: str,
+    rejected: str | None = None,
 ) -> int:
     """Read the three kinds of files and write the result, partitioned by route.
 
-    Returns the rows written. ``clients`` may be a glob.
+    Returns the rows written. ``clients`` may be a glob. Fields that do not fit their
+    column are null. With ``rejected``, a path, lines with such fields, or with too few
+    or too many, are left out and written there as Parquet, each with its kind of file.
     """
-    joined = client_product(
-        read_delimited(spark, clients, "|", CLIENT_SCHEMA),
-        read_delimited(spark, codes, ";", CODE_SCHEMA),
-        read_delimited(spark, products, ";", PRODUCT_SCHEMA),
-    )
+    files = {
+        "clients": (clients, "|", CLIENT_SCHEMA),
+        "codes": (codes, ";", CODE_SCHEMA),
+        "products": (products, ";", PRODUCT_SCHEMA),
+    }
+    if rejected is None:
+        frames = [read_delimited(spark, *file) for file in files.values()]
+    else:
+        checked = {kind: read_delimited_checked(spark, *file) for kind, file in files.items()}
+        frames = [good for good, _ in checked.values()]
+        lines = [
+            bad.select(F.lit(kind).alias("file"), F.col(RECORD).alias("record"))
+            for kind, (_, bad) in checked.items()
+        ]
+        reduce(DataFrame.unionByName, lines).write.mode("overwrite").parquet(rejected)
+    joined = client_product(*frames)
     # There are three routes, so gathering each would move all rows to save few files.
     return write_partitioned(joined, output, [ROUTE_COLUMN], cluster=False)

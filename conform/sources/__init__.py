@@ -1,12 +1,13 @@
 """Where DataFrames come from: delimited files, rows in memory, catalog tables."""
 
-from conform.sources.delimited import read_delimited
+from conform.sources.delimited import read_delimited, read_delimited_checked
 from conform.sources.rows import empty_frame, rows_frame
 from conform.sources.tables import read_table, read_table_or_empty, run_sql, table_exists
 
 __all__ = [
     "empty_frame",
     "read_delimited",
+    "read_delimited_checked",
     "read_table",
     "read_table_or_empty",
     "rows_frame",

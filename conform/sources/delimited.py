@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
+
+#: The line of a rejected row, in what `read_delimited_checked` returns.
+RECORD = "rejected_record"
 
 
 def read_delimited(
@@ -13,6 +17,7 @@ def read_delimited(
     schema: StructType | str | None = None,
     infer: bool = False,
     null_token: str = "null",
+    **options: str | bool | int,
 ) -> DataFrame:
     """Read delimited files with a header; ``path`` may be a glob.
 
@@ -21,7 +26,9 @@ def read_delimited(
 
     All files of a glob are read by position, so each file's own header is
     checked against the schema (``enforceSchema=False``): a file with its
-    columns in another order fails instead of landing under wrong names.
+    columns in another order fails instead of landing under wrong names. Further
+    ``options`` go to Spark's reader (``encoding``, ``quote``, ``escape``, ``mode``, …).
+    A field that does not fit its type is null; see `read_delimited_checked`.
     """
     if schema is not None and infer:
         raise ValueError("give a schema or infer=True, not both")
@@ -31,7 +38,37 @@ def read_delimited(
         nullValue=null_token,
         enforceSchema=False,
         inferSchema=infer,
-    )
+    ).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
+
+
+def read_delimited_checked(
+    spark: SparkSession,
+    path: str | list[str],
+    sep: str,
+    schema: StructType | str,
+    null_token: str = "null",
+    **options: str | bool | int,
+) -> tuple[DataFrame, DataFrame]:
+    """The rows that fit the schema, and those that do not.
+
+    A row is rejected if a field does not fit its type or if it has too few or too
+    many fields. Rejected rows come with what could be read of them and the whole line
+    in ``rejected_record``. Each of the two frames reads the files when it is used.
+    """
+    kinds = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    marked = StructType([*kinds.fields]).add(RECORD, StringType())
+    rows = read_delimited(
+        spark,
+        path,
+        sep,
+        marked,
+        null_token=null_token,
+        **{**options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RECORD},
+    )
+    # Always true, but it names every column: Spark judges only the fields it reads.
+    rows = rows.where(F.xxhash64(*(F.col(f"`{name}`") for name in kinds.names)) >= -(1 << 63))
+    good = rows.where(F.col(RECORD).isNull()).drop(RECORD)
+    return good, rows.where(F.col(RECORD).isNotNull())

@@ -82,6 +82,18 @@ def test_ingest(spark, inputs):
     assert others == [(None, "Inactivo", "Maestro"), ("paz@x.co", "Unknown", "N/A")]
 
 
+def test_ingest_sets_lines_that_do_not_fit_aside(spark, inputs):
+    (inputs / "productos.csv").write_bytes(
+        (PRODUCTS + "1;Ahorros;1/01/2010;1\r\ntwo;CDT;2/01/2010;0\r\n3;Otro\r\n").encode()
+    )
+    out, rejected = str(inputs / "output"), str(inputs / "rejected")
+    paths = (f"{inputs}/ods_clientes*.csv", f"{inputs}/codigos.csv", f"{inputs}/productos.csv")
+    assert ingest(spark, *paths, out, rejected) == 1
+    assert sorted(map(tuple, spark.read.parquet(rejected).collect())) == [
+        ("products", "3;Otro"), ("products", "two;CDT;2/01/2010;0")
+    ]
+
+
 def test_column_order_of_the_joined_clients(spark):
     clients = rows_frame(
         spark, [(1, 1, "n", "e", "c", 1, "d", 1)],

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conform.operators import equi_join, new_keys, standardise, vault_delta
-from conform.sinks import write_partitioned
+from conform.sinks import create_vault, insert, write_partitioned
 
 # Thresholds small enough for Spark to see this much data as skewed.
 SMALL = {
@@ -99,6 +99,23 @@ def test_new_keys_splits_a_hot_key_of_the_data(facts, keys, capsys):
     assert "skew=true" in final_plan(new_keys(data, vault), capsys)
 
 
+def test_new_keys_splits_a_hot_key_where_the_vault_is_bucketed(spark, facts, keys, capsys, tmp_path):
+    data = facts.select(
+        F.sha2(F.col("k").cast("string"), 256).alias("HashValue1"), F.col("pad").alias("AESValue1")
+    )
+    create_vault(spark, "skew_vault", str(tmp_path / "v"), 8)
+    held = keys.where("r > 100").select(F.sha2(F.col("r").cast("string"), 256).alias("hashvalue"))
+    insert(held.withColumn("aesvalue", F.lit("c")), "skew_vault")
+    vault = spark.table("skew_vault")
+    found = new_keys(data, vault, bucketed=True)
+    plan = final_plan(found, capsys)
+    assert "skew=true" in plan
+    scan = plan.index("skew_vault")
+    assert "Exchange" not in plan[plan.rindex("SortMergeJoin", 0, scan) : scan].split("FileScan")[-1]
+    assert sorted(found.collect()) == sorted(new_keys(data, vault).collect())
+    spark.sql("drop table skew_vault")
+
+
 def test_vault_delta_shuffles_each_key_once_per_task(facts, keys, capsys):
     vault = keys.select(F.sha2(F.col("r").cast("string"), 256).alias("hashvalue"))
     df = vault_delta(facts, [["k"]], "0123456789abcdef", vault)

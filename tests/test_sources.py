@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from conform.sources import (
     empty_frame,
     read_delimited,
+    read_delimited_checked,
     read_table,
     read_table_or_empty,
     rows_frame,
@@ -110,3 +111,18 @@ def test_sql_over_named_frames(spark):
     df = run_sql(spark, "select item from {sent} where price > {least}".replace(
         "{least}", "500"), sent=parcels(spark))
     assert tuples(df) == [("desk",), ("rug",)]
+
+
+def test_rejected_rows_do_not_depend_on_the_columns_used(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k;n;t\n1;10;x\n2;ten;y\n3;30\n4;40;z;more\n5;null;w\n")
+    good, bad = read_delimited_checked(spark, str(tmp_path), ";", "k int, n int, t string")
+    assert good.columns == ["k", "n", "t"]
+    assert sorted(row["k"] for row in good.select("k").collect()) == [1, 5]
+    assert good.count() == 2 and bad.count() == 3
+    assert {row["rejected_record"] for row in bad.collect()} == {"2;ten;y", "3;30", "4;40;z;more"}
+
+
+def test_reader_options_are_passed_on(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("k;t\n1;'a;\u00fc'\n".encode("latin-1"))
+    df = read_delimited(spark, str(tmp_path), ";", encoding="ISO-8859-1", quote="'")
+    assert df.collect() == [("1", "a;\u00fc")]
