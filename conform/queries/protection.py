@@ -134,6 +134,16 @@ def new_keys_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return new_keys(_order_keys(spark, sf_dir), _overdrawn_vault(spark, sf_dir), dedup=True)
 
 
+@query(_NEW_SQL.format(distinct=""))
+def new_keys_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vault = fresh_name("vault")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    create_vault(spark, vault, scratch(spark, "vault"), buckets)
+    known = _overdrawn_vault(spark, sf_dir).withColumn(CIPHER, F.lit("known"))
+    insert(known, vault)
+    return new_keys(_order_keys(spark, sf_dir), spark.table(vault), bucketed=True)
+
+
 _GROWN_SQL = """
     select sha256(plain) as hashvalue, plain
     from (select distinct cast(o_custkey as varchar) as plain from orders

@@ -17,6 +17,7 @@ from conform.queries.shared import (
 )
 from conform.sources import (
     read_delimited,
+    read_delimited_checked,
     read_table,
     read_table_or_empty,
     rows_frame,
@@ -58,6 +59,42 @@ def scan_delimited_semicolon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_delimited(spark, files, ";", supplier.schema)
 
 
+def _checked_suppliers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Suppliers from files in which the nation of those in debt cannot be read."""
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    nation = F.when(F.col("s_acctbal") < 0, "none").otherwise(F.col("s_nationkey").cast("string"))
+    files = _write_delimited(
+        supplier.withColumn("s_nationkey", nation), scratch(spark, "supplier"), ";"
+    )
+    return read_delimited_checked(spark, files, ";", supplier.schema)
+
+
+@query(
+    """
+    select s_suppkey, s_name, s_nationkey, s_acctbal from supplier
+    where coalesce(s_acctbal >= 0, true)
+    """
+)
+def scan_delimited_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _checked_suppliers(spark, sf_dir)[0]
+
+
+@query(
+    """
+    select s_suppkey, s_name, 'none' as nation, s_nationkey is null as unread
+    from (select s_suppkey, s_name, cast(null as int) as s_nationkey from supplier
+          where s_acctbal < 0)
+    """
+)
+def scan_delimited_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _checked_suppliers(spark, sf_dir)[1].select(
+        "s_suppkey",
+        "s_name",
+        F.split("rejected_record", ";")[2].alias("nation"),
+        F.isnull("s_nationkey").alias("unread"),
+    )
+
+
 @query(
     """
     select cast(p_partkey as int) as p_partkey, p_name, p_brand, p_type, p_size, p_retailprice
