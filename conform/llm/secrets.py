@@ -168,6 +168,8 @@ def secret_spans(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
     repeated rows are scanned each; other columns are not read.
     """
     found = stored(matches(documents, BASE | {"markov": CANDIDATE}), "matches")
+    # Before short assignments go: a document may have nothing else.
+    rows = found.select("_row", "doc_id").distinct()
     assigned = F.regexp_extract("match", ASSIGN, 1)
     secret = F.when(F.col("kind") == "assign", assigned).otherwise(F.col("match"))
     found = found.withColumn("secret", secret).where(
@@ -200,7 +202,6 @@ def secret_spans(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
         random.select("_row", "start"), ["_row", "start"], "left_semi"
     )
     kept = found.where("kind is null or kind <> 'markov'").unionByName(added)
-    rows = found.select("_row", "doc_id").distinct()
     spans = kept.where("kind is not null").drop("doc_id")
     return rows.join(spans, "_row", "left").select(
         "_row", "doc_id", "kind", "start", "end", "secret"

@@ -210,6 +210,21 @@ def test_secrets(spark, folder):
     assert found[0]["base_sha256"] == hashlib.sha256(b"").hexdigest() and found[0]["spans"] == ""
 
 
+def test_secrets_keep_documents_with_a_short_assignment_only(spark):
+    from conform.llm.secrets import document_secrets
+
+    texts = ["token: ab", "Token: one.", "nichts", None, "token: abcdef"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in document_secrets(docs).collect()}
+    assert sorted(found) == [0, 1, 2, 3, 4]
+    nothing = hashlib.sha256(b"").hexdigest()
+    for i in range(4):
+        r = found[i]
+        assert (r.n_assign, r.n_access, r.n_hex, r.spans) == (0, 0, 0, "")
+        assert r.base_sha256 == nothing
+    assert found[4].n_assign == 1
+
+
 def test_secrets_are_marked(spark, folder):
     from conform.llm.secrets import without_secrets
 
