@@ -300,6 +300,31 @@ def test_licenses(spark, folder):
     assert notices("A licence to kill is no license text.") == []
 
 
+def test_notices_within_sentences_and_over_lines():
+    from conform.llm.licenses import HEADERS, TEMPLATES, WORDINGS
+
+    assert all(telling for _, telling in WORDINGS)
+    for text, licenses in {
+        "This file is released under the MIT License.": ["MIT"],
+        'Licensed under the Apache License, Version 2.0 (the "License");': ["Apache-2.0"],
+        "Licensed under the Apache License,\nVersion 2.0.": ["Apache-2.0"],
+        " * Licensed under the Apache License v2.0,\n * see LICENSE": ["Apache-2.0"],
+        "Released under the MIT Licence or the Apache License, Version 2.0": ["MIT", "Apache-2.0"],
+        "Released under the MIT License. Released under the MIT License.": ["MIT", "MIT"],
+        "// SPDX-License-Identifier: GPL-3.0-or-later": ["GPL-3.0"],
+        "Licensed under the GNU Lesser General Public License, version 3.": ["LGPL-3.0"],
+        "Licensed under the GNU General Public License, version 9.": [],
+        "Released under the MIT\n\nLicense": [],
+        "He was released under the new license of the city.": [],
+    }.items():
+        assert [n[2] for n in notices(text)] == licenses, text
+    for name, text in TEMPLATES:
+        wrapped = f"Vorher.\n\n# Copyright 2020 Wer\n# {text}".replace(" the ", "\n# the ")
+        found = notices(f"{wrapped}\n\nNachher.")
+        assert [(n[2], n[4]) for n in found] == [(name, "")], text
+    assert set(HEADERS) <= {name for name, _ in TEMPLATES}
+
+
 def test_fingerprints(spark, folder):
     found = rows(spark, "op10_fingerprints", folder)
     for i, r in enumerate(found):
