@@ -6,6 +6,8 @@ import json
 import os
 import zlib
 from bisect import bisect_right
+from collections import Counter
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -17,7 +19,7 @@ from conform.llm.arrow import map_blocks, texts
 from conform.llm.tables import ordered, stored
 
 CAPACITY = 2048
-#: Fillings that the search may look at for one bin, and bins that it may fill in all.
+#: Looks between two orderings of a bin's fillings, and bins that the search may fill in all.
 FILLINGS, STEPS = 400, 8_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -115,40 +117,43 @@ def least_bins(counts: dict[int, int], capacity: int) -> int:
     return best
 
 
-def _fillings(counts: dict[int, int], sizes: list[int], room: int, most: int) -> list[tuple]:
-    """Ways to fill ``room``, least waste first, none of them dominated by swapping one item.
+def _fillings(
+    counts: dict[int, int], sizes: list[int], room: int, held: int, look: Callable[[], bool]
+) -> Iterator[tuple[int, tuple]]:
+    """Ways to fill ``room`` beside an item ``held``, with their waste, one after the other.
 
     Items are taken in falling order. A filling to which something could be added, or
-    in which a larger item of those left fits in place of another, is left out.
+    in which a larger item of those left fits in place of another, is left out. Ends
+    early only when ``look``, called for each item laid in, says no.
     """
-    found: list[tuple[int, tuple]] = []
-    looked = 0
-
-    def search(below: int, room: int, chosen: tuple) -> bool:
-        nonlocal looked
-        at = bisect_right(sizes, min(below, room))
-        used = chosen.count(below)
-        maximal = True
-        while at > 0:
-            at -= 1
-            size = sizes[at]
-            if counts[size] <= (used if size == below else 0):
+    used = Counter([held])
+    chosen: list[int] = []
+    # For each item laid in: the next smaller size to try, the room left, and if nothing fitted.
+    stack = [[bisect_right(sizes, room), room, True]]
+    while stack:
+        place = stack[-1]
+        place[0] -= 1
+        if place[0] >= 0:
+            size = sizes[place[0]]
+            if counts[size] <= used[size]:
                 continue
-            maximal = False
-            looked += 1
-            if search(size, room - size, (*chosen, size)) or looked >= most:
-                return True
-        if maximal:
-            for item in set(chosen):
-                first = bisect_right(sizes, item)
-                last = bisect_right(sizes, item + room)
-                if any(counts[x] > chosen.count(x) for x in sizes[first:last]):
-                    return False
-            found.append((room, chosen))
-        return maximal and room == 0
-
-    search(room, room, ())
-    return [chosen for _, chosen in sorted(found, key=lambda x: x[0])]
+            if not look():
+                return
+            place[2] = False
+            used[size] += 1
+            chosen.append(size)
+            free = place[1] - size
+            stack.append([bisect_right(sizes, min(size, free)), free, True])
+            continue
+        _, free, maximal = stack.pop()
+        if maximal and not any(
+            counts[x] > used[x]
+            for item in set(chosen)
+            for x in sizes[bisect_right(sizes, item) : bisect_right(sizes, item + free)]
+        ):
+            yield free, tuple(chosen)
+        if chosen:
+            used[chosen.pop()] -= 1
 
 
 def _best_fit(counts: dict[int, int], sizes: list[int], room: int) -> tuple:
@@ -168,12 +173,15 @@ def pack(
 ) -> list[tuple[tuple, int]]:
     """Bin completion: fillings and how many bins get each, for items counted by length.
 
-    A bin starts with the largest item left; the fillings of the rest that no other
-    dominates are tried, least waste first, and what was packed before plus the least
-    bins for what is left prunes a branch that cannot beat the best packing known.
-    Best-fit is the first such packing. A filling goes to as many bins as its items
-    allow, so the work depends on the number of lengths, not of items. After ``steps``
-    fillings the best packing known stands; one with the least bins ends the search.
+    A bin starts with the largest item left; all fillings of the rest that no other
+    dominates are tried, and what was packed before plus the least bins for what is
+    left prunes a branch that cannot beat the best packing known. Of the fillings that
+    ``FILLINGS`` looks find, those with least waste come first, then those of the next
+    looks. Best-fit is the first packing known. A filling goes to as many bins as its
+    items allow, so that the work depends on the number of lengths, not of items; when
+    all have been tried so, each goes to a single bin. One packing with the least bins
+    ends the search, or that nothing is left to try; else the best one known stands
+    after ``steps`` fillings or ``FILLINGS`` times as many looks.
     """
     counts = {n: c for n, c in counts.items() if c}
     goal = least_bins(counts, capacity)
@@ -202,36 +210,69 @@ def pack(
         return sum(times for _, times in packed)
 
     best = greedy(counts, _best_fit)
-    spent = 0
-    # Depth first: each level holds what is left, what was packed, and fillings to try.
-    levels: list[tuple] = [(counts, None, 0, None)]
-    while levels and bins(best) > goal and spent < steps:
-        left, packed, used, todo = levels.pop()
-        if todo is None:
-            if not left:
-                if used < bins(best):
-                    best = []
-                    while packed:
-                        packed, *step = packed
-                        best.append(tuple(step))
-                continue
-            if used + -(-sum(n * c for n, c in left.items()) // capacity) >= bins(best):
-                continue
-            sizes = sorted(left)
-            largest = sizes[-1]
-            free = dict(left)
-            free[largest] -= 1
-            fit = _best_fit(free, sizes, capacity - largest)
-            todo = _fillings(free, sizes, capacity - largest, FILLINGS)[:3]
-            if capacity - largest - sum(fit) == 0 or not todo:
-                todo = [fit]
-            todo = [(largest, *rest) for rest in todo]
+    spent = looks = 0
+
+    def look() -> bool:
+        nonlocal looks
+        looks += 1
+        return looks <= steps * FILLINGS
+
+    def by_waste(sizes: list) -> Iterator[tuple]:
+        largest = sizes[-1]
+        room = capacity - largest
+        left[largest] -= 1
+        fit = _best_fit(left, sizes, room)
+        left[largest] += 1
+        exact = sum(fit) == room
+        if exact:
+            yield fit
+        some, until = [], looks + FILLINGS
+        for waste, rest in _fillings(left, sizes, room, largest, look):
+            if not (exact and rest == fit):
+                some.append((waste, rest))
+            if looks >= until or not waste:
+                yield from (r for _, r in sorted(some, key=lambda x: x[0]))
+                some, until = [], looks + FILLINGS
+        yield from (r for _, r in sorted(some, key=lambda x: x[0]))
+
+    def options() -> Iterator[tuple[tuple, int]]:
+        sizes = sorted(n for n, c in left.items() if c)
+        for single in (False, True):
+            for rest in by_waste(sizes):
+                filling = (sizes[-1], *rest)
+                times = min(left[n] // c for n, c in Counter(filling).items())
+                if not single or times > 1:
+                    yield filling, 1 if single else times
+
+    def change(filling: tuple, times: int) -> None:
+        for n in filling:
+            left[n] += times
+
+    # Depth first. What is left is one table: a step back puts its items back, so a
+    # level's options always go on from what they began with.
+    left, path, used = dict(counts), [], 0
+    waiting = sum(n * c for n, c in left.items())
+    levels = [options()] if left else []
+    while levels and bins(best) > goal and spent < steps and looks < steps * FILLINGS:
+        step = next(levels[-1], None)
+        if step is None:
+            levels.pop()
+            if path:
+                filling, times = path.pop()
+                change(filling, times)
+                used, waiting = used - times, waiting + times * sum(filling)
+            continue
+        filling, times = step
         spent += 1
-        after, sizes = dict(left), sorted(left)
-        times = apply(after, sizes, todo[0])
-        if todo[1:]:
-            levels.append((left, packed, used, todo[1:]))
-        levels.append((after, (packed, todo[0], times), used + times, None))
+        change(filling, -times)
+        path.append(step)
+        used, waiting = used + times, waiting - times * sum(filling)
+        if not waiting and used < bins(best):
+            best = list(path)
+        if waiting and used + -(-waiting // capacity) < bins(best):
+            levels.append(options())
+        else:
+            levels.append(iter(()))
     return best
 
 

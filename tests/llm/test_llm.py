@@ -126,6 +126,18 @@ def test_bin_completion_beats_best_fit():
     assert pack({}, 10) == []
 
 
+def test_bin_completion_tries_all_fillings():
+    # Three fillings of each bin, or best-fit alone where it is exact, end at nine bins.
+    counts = {10: 3, 11: 2, 5: 3, 2: 2, 12: 3, 4: 2, 7: 3, 9: 1, 6: 2, 3: 1}
+    packed = pack(counts, 20)
+    assert sum(times for _, times in packed) == least_bins(counts, 20) == 8
+    laid = Counter()
+    for filling, times in packed:
+        assert sum(filling) <= 20
+        laid.update({n: c * times for n, c in Counter(filling).items()})
+    assert laid == counts
+
+
 def linked(texts):
     lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
     sets = []
