@@ -23,8 +23,6 @@ CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
 ORDINARY = "[A-Za-z0-9_]{6,}"
 ALPHABET = 66
 SMOOTHING = 0.5
-#: Documents from which ordinary identifiers are learnt, at most; those with the least hashes.
-SAMPLE_DOCUMENTS = 2000
 #: Mean log-likelihood ratio of two neighbouring characters from which a string is a secret.
 THRESHOLD = 0.5
 
@@ -77,13 +75,18 @@ def matches(documents: DataFrame, patterns: dict[str, str]) -> DataFrame:
 
 
 def _pairs(strings: DataFrame, count: str) -> DataFrame:
-    """How often each two neighbouring characters come in the column ``string``."""
+    """How often each two neighbouring characters come in the column ``string``.
+
+    Equal strings are counted first, so that the characters of each are read once.
+    """
     at = F.explode(F.sequence(F.lit(1), F.length("string") - 1))
     return (
         strings.where("length(string) > 1")
-        .select("string", at.alias("_at"))
+        .groupBy("string")
+        .agg(F.count("*").alias("_times"))
+        .select("string", "_times", at.alias("_at"))
         .groupBy(F.substring("string", F.col("_at"), F.lit(2)).alias("pair"))
-        .agg(F.count("*").alias(count))
+        .agg(F.sum("_times").alias(count))
     )
 
 
@@ -102,6 +105,8 @@ def train(random: DataFrame, ordinary: DataFrame) -> DataFrame:
         F.coalesce("_r", F.lit(0)).alias("_r"),
         F.coalesce("_o", F.lit(0)).alias("_o"),
     )
+    # Read twice below, and the texts should be read once.
+    counted = stored(counted, "pairs")
     firsts = counted.groupBy("_first").agg(F.sum("_r").alias("_all_r"), F.sum("_o").alias("_all_o"))
     none = F.lit(0).cast("long")
     unseen = firsts.select(
@@ -141,21 +146,14 @@ def scores(strings: DataFrame, model: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def ordinary_identifiers(documents: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> DataFrame:
-    """Identifiers of ordinary text, from documents without a base match, ``sample`` at most."""
-    ids = documents.select("doc_id").distinct()
-    chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+def ordinary_identifiers(documents: DataFrame) -> DataFrame:
+    """Identifiers of ordinary text: those of all documents without a base match."""
     text = text_or_empty()
     words = F.explode(F.regexp_extract_all(text, F.lit(ORDINARY), F.lit(0)))
     plain = F.lit(True)
     for pattern in BASE.values():
         plain = plain & ~text.rlike(pattern)
-    # As many identifiers as the sample has rows.
-    return (
-        documents.join(F.broadcast(chosen), "doc_id", "left_semi")
-        .where(plain)
-        .select(words.alias("string"))
-    )
+    return documents.where(plain).select(words.alias("string"))
 
 
 def secret_spans(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -237,6 +237,13 @@ def test_secrets_keep_documents_with_a_short_assignment_only(spark):
     assert found[4].n_assign == 1
 
 
+def test_ordinary_identifiers_come_from_all_documents(spark):
+    from conform.llm.secrets import ordinary_identifiers
+
+    docs = spark.range(2100).selectExpr("id as doc_id", "concat('wort_', id) as text")
+    assert ordinary_identifiers(docs).select("string").distinct().count() == 2100
+
+
 def test_secrets_are_marked(spark, folder):
     from conform.llm.secrets import without_secrets
 
