@@ -64,6 +64,8 @@ def empty(spark, tmp_path_factory):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{path}/documents.parquet")
     labels = spark.createDataFrame([], "doc_id long, quality long, toxic long")
     labels.write.parquet(f"{path}/labels.parquet")
+    vectors = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
+    vectors.write.parquet(f"{path}/embeddings.parquet")
     return path
 
 
