@@ -176,19 +176,32 @@ def _fragment(words: bytes, place: int) -> bytes:
     return words[start : end + 1 or len(words)]
 
 
-def train(documents: DataFrame, text: str = "text", language: str = "lang") -> Identifier:
+def train(
+    documents: DataFrame, key: str = "doc_id", text: str = "text", language: str = "lang"
+) -> Identifier:
     """An identifier learnt from rows with a text and a language.
 
-    The driver gets the n-gram shares of `SAMPLE` documents and as many fragments, or of
-    20 documents of each language if there are that many languages.
+    The driver gets the languages with their counts, and the n-gram shares of `SAMPLE`
+    documents and as many fragments, or of 20 documents of each language if there are
+    that many languages. What makes the choice are hashes of key and text.
     """
-    known = documents.select(F.col(language).alias("language"), F.col(text).alias("words"))
-    known = known.where("language is not null and words is not null")
-    many = known.select("language").distinct().count()
-    each = min(PER_LANGUAGE, max(SAMPLE // max(many, 1), 20))
+    known = documents.where(F.col(text).isNotNull() & F.col(language).isNotNull())
+    held = {row[0]: row[1] for row in known.groupBy(language).count().collect()}
+    if not held:
+        return fit(np.zeros((0, BUCKETS)), np.zeros(0, int), [])
+    each = min(PER_LANGUAGE, max(SAMPLE // max(len(held), 1), 20))
+    # About three times as many as are wanted go by their hash alone, before any shuffle.
+    whole = 1 << 31
+    shares_of = {name: min(whole, 3 * each * whole // count + 1) for name, count in held.items()}
+    below = F.create_map(*(F.lit(x) for item in shares_of.items() for x in item))
     place = Window.partitionBy("language").orderBy("hash", "words")
     chosen = (
-        known.withColumn("hash", F.xxhash64("words"))
+        known.select(
+            F.col(language).alias("language"),
+            F.xxhash64(key, text).alias("hash"),
+            F.col(text).alias("words"),
+        )
+        .where(F.pmod("hash", F.lit(whole)) < below[F.col("language")])
         .withColumn("place", F.row_number().over(place))
         .where(F.col("place") <= each)
         .select("language", "hash", "words")

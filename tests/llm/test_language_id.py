@@ -34,7 +34,8 @@ def corpus(names, each=60):
     for lang in names:
         words = SENTENCES[lang].split()
         for _ in range(each):
-            rows.append((len(rows), " ".join(draw.choice(words, draw.integers(3, 30))), lang, "s", 1.0, "h"))
+            text = " ".join(draw.choice(words, draw.integers(3, 30)))
+            rows.append((len(rows), text, lang, "s", 1.0, "h"))
     return rows
 
 
