@@ -118,7 +118,8 @@ class Gnat:
         numbers = node.splits if isinstance(node, _Node) else node
         if not len(numbers):
             return
-        apart = squared(queries[rows], self.points[numbers], least.dtype.type if least.dtype != object else object)
+        kind = object if least.dtype == object else least.dtype.type
+        apart = squared(queries[rows], self.points[numbers], kind)
         self.looked += apart.size
         # Members rise within a list, split points do not: of equal ones the least number.
         near = apart.min(axis=1)
