@@ -6,6 +6,7 @@ from conform.operators.columns import (
     combine_columns,
     flatten_struct,
     hash_and_drop,
+    map_arrow,
     map_batches,
     null_column,
     project_like,
@@ -28,6 +29,7 @@ from conform.operators.schema import (
     same_schema,
 )
 from conform.operators.standardise import (
+    rule_conflicts,
     rules_for,
     standardise,
     standardise_any,
@@ -51,12 +53,14 @@ __all__ = [
     "equi_join",
     "flatten_struct",
     "hash_and_drop",
+    "map_arrow",
     "map_batches",
     "new_keys",
     "not_null_columns",
     "null_column",
     "project_like",
     "protect",
+    "rule_conflicts",
     "rules_for",
     "same_schema",
     "split_to_columns",

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 from typing import TypeVar
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
@@ -98,3 +99,27 @@ def map_batches(
             yield function(batch, prepared)
 
     return df.mapInPandas(run, schema)
+
+
+def map_arrow(
+    df: DataFrame,
+    function: Callable[[pa.RecordBatch, Setup], pa.RecordBatch],
+    schema: StructType | str,
+    setup: Callable[[], Setup] = lambda: None,
+) -> DataFrame:
+    """Apply a function to Arrow batches, without pandas between.
+
+    For work no Spark expression can do, on columns that pandas would turn into objects.
+    ``setup`` runs once per task, before its first batch, and its result goes to every
+    call; a task without rows does not run it. Select only the columns the function
+    needs beforehand.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        prepared, ready = None, False
+        for batch in batches:
+            if not ready:
+                prepared, ready = setup(), True
+            yield function(batch, prepared)
+
+    return df.mapInArrow(run, schema)

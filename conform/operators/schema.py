@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType, StructType
 
@@ -49,19 +49,47 @@ def same_schema(left: StructType, right: StructType, strict: bool = True) -> boo
     return [(f.name, f.dataType) for f in left] == [(f.name, f.dataType) for f in right]
 
 
-def control_columns(control: DataFrame) -> list[str]:
-    """The columns to work on, from the third column of a control table."""
-    return [
-        name
-        for row in _control_rows(control)
-        for name in (row[2] or "").split(",")
-        if name
-    ]
+def control_columns(control: DataFrame, among: Sequence[str] | None = None) -> list[str]:
+    """The columns to work on, from the third column of a control table.
+
+    With ``among``, the columns of the frame to work on, Spark splits the lists and keeps
+    the names that are among them, each once and in their order: the driver gets no more
+    names than the frame has, however long the table is. Without, all rows are collected.
+    """
+    listed = control.select(F.col(f"`{control.columns[2]}`").alias("names"))
+    if among is None:
+        return [n for row in listed.collect() for n in (row["names"] or "").split(",") if n]
+    if not among:
+        return []
+    names = listed.select(F.explode(F.split("names", ",")).alias("name"))
+    found = {row[0] for row in names.select(_known("name", among)).distinct().collect()}
+    return [name for name in among if name in found]
+
+
+def control_pairs(
+    control: DataFrame, among: Sequence[str] | None = None
+) -> list[list[str]]:
+    """The pairs of columns to protect together: second and third column.
+
+    With ``among``, the columns of the frame to work on, only pairs of them, each once:
+    the driver gets no more pairs than the frame has.
+    """
+    one, two = (F.col(f"`{name}`") for name in control.columns[1:3])
+    if among is None:
+        return [list(row) for row in control.select(one, two).collect()]
+    if not among:
+        return []
+    pairs = control.select(
+        _known(one, among).alias("one"), _known(two, among).alias("two")
+    ).dropna()
+    found = {tuple(row) for row in pairs.distinct().collect()}
+    return [[a, b] for a in among for b in among if (a, b) in found]
 
 
-def control_pairs(control: DataFrame) -> list[list[str]]:
-    """The pairs of columns to protect together: second and third column."""
-    return [[row[1], row[2]] for row in _control_rows(control)]
+def _known(name: Column | str, among: Sequence[str]) -> Column:
+    """The frame's spelling of a name, in whatever case it is given; null for others."""
+    spelled = F.create_map(*(F.lit(x) for n in among for x in (n.lower(), n)))
+    return F.try_element_at(spelled, F.lower(F.trim(name)))
 
 
 def cast_checked(
@@ -72,14 +100,14 @@ def cast_checked(
     Where no value of the column's type can be cast at all, the whole column
     becomes null. `cast_lost_rows` and `cast_counts` tell what was lost.
     """
-    return df.withColumn(column, _cast_or_null(df, column, data_type, truncate))
+    return df.withColumn(column, cast_or_null(df, column, data_type, truncate))
 
 
 def cast_lost_rows(
     df: DataFrame, column: str, data_type: DataType | str, truncate: bool = False
 ) -> DataFrame:
     """The rows whose value is not null, but is after the cast."""
-    cast = _cast_or_null(df, column, data_type, truncate)
+    cast = cast_or_null(df, column, data_type, truncate)
     return df.where(F.col(f"`{column}`").isNotNull() & cast.isNull())
 
 
@@ -90,7 +118,7 @@ def cast_counts(
 
     A value is changed if its text is another after the cast. Nulls are kept.
     """
-    cast = _cast_or_null(df, column, data_type, truncate)
+    cast = cast_or_null(df, column, data_type, truncate)
     both = df.select(F.col(f"`{column}`").alias("value"), cast.alias("cast"))
     lost = F.col("value").isNotNull() & F.col("cast").isNull()
     changed = F.col("cast").cast("string") != F.col("value").cast("string")
@@ -101,9 +129,10 @@ def cast_counts(
     )
 
 
-def _cast_or_null(
-    df: DataFrame, column: str, data_type: DataType | str, truncate: bool
+def cast_or_null(
+    df: DataFrame, column: str, data_type: DataType | str, truncate: bool = False
 ) -> Column:
+    """The cast of a column, or nulls where Spark has no such cast."""
     value = F.col(f"`{column}`")
     cast = safe_cast(value, df.select(value).schema[0].dataType, data_type, truncate)
     try:
@@ -113,11 +142,6 @@ def _cast_or_null(
     return cast
 
 
-def _control_rows(control: DataFrame) -> list[Row]:
-    """All rows: a control table lists columns, as a table has them."""
-    return control.select(*control.columns[:3]).collect()
-
-
 def _type_name(data_type: DataType) -> str:
     return (
         data_type.simpleString()

@@ -23,6 +23,10 @@ COLUMN = "columna"
 
 _MATCH = "__value"
 _STANDARD = "__code"
+_OTHER = "__other"
+
+#: What `standardise` may do with a value that has several codes.
+CONFLICTS = ("all", "first", "report", "refuse")
 
 
 def rules_for(rules: DataFrame, table: str, column: str | None = None) -> DataFrame:
@@ -34,18 +38,44 @@ def rules_for(rules: DataFrame, table: str, column: str | None = None) -> DataFr
 
 
 def standardise(
-    df: DataFrame, rules: DataFrame, column: str, how: str = "inner"
+    df: DataFrame, rules: DataFrame, column: str, how: str = "inner", conflicts: str = "all"
 ) -> DataFrame:
     """Replace a column's values by their codes; the column moves to the end.
 
     With ``inner`` rows without a rule are left out, with ``left`` they stay
-    with a null code (`unmatched_values` lists them). A value with two codes
-    gives two rows.
+    with a null code (`unmatched_values` lists them). ``conflicts`` says what becomes of
+    a value that has several codes: with ``all`` its rows come once for each code, with
+    ``first`` they get the least one, with ``report`` none, as if the value had no rule,
+    and with ``refuse`` the query fails and names the value. `rule_conflicts` lists them.
     """
+    if conflicts not in CONFLICTS:
+        raise ValueError(f"conflicts is one of {', '.join(CONFLICTS)}")
     pairs = rules.select(F.col(VALUE).alias(_MATCH), F.col(CODE).alias(_STANDARD))
+    if conflicts != "all":
+        # One row for each value, settled before the join; rules meet in part beforehand.
+        settled = pairs.groupBy(_MATCH).agg(
+            F.min(_STANDARD).alias(_STANDARD), F.max(_STANDARD).alias(_OTHER)
+        )
+        several = F.col(_STANDARD) != F.col(_OTHER)
+        if conflicts == "report":
+            settled = settled.where(several.isNull() | ~several)
+        elif conflicts == "refuse":
+            told = F.concat(F.lit("several codes for "), F.col(_MATCH).cast("string"))
+            code = F.when(several, F.raise_error(told)).otherwise(F.col(_STANDARD))
+            settled = settled.withColumn(_STANDARD, code)
+        pairs = settled.drop(_OTHER)
     return _replace(df, pairs, column, how)
 
 
+def rule_conflicts(rules: DataFrame) -> DataFrame:
+    """The values that have several codes, with their number, the least and the greatest."""
+    known = rules.where(F.col(VALUE).isNotNull()).select(VALUE, CODE).distinct()
+    found = known.groupBy(VALUE).agg(
+        F.count(CODE).alias("codes"), F.min(CODE).alias("first"), F.max(CODE).alias("last")
+    )
+    return found.where("codes > 1")
+
+
 def standardise_any(
     df: DataFrame,
     rules: DataFrame,

@@ -19,6 +19,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from conform.sinks.casts import WrittenCast
 from conform.sinks.tables import insert
 from conform.sources import rows_frame
 
@@ -85,6 +86,13 @@ class AuditRun:
         if keep:
             self._blemish(message)
 
+    def casts(self, written: WrittenCast) -> None:
+        """Take the counts of a write, and warn of every column that lost values."""
+        self.rows_loaded = written.written
+        for column, counts in written.counts.items():
+            if counts.lost:
+                self.warn(f"{column}: {counts.lost} values lost in the cast", keep=True)
+
     def append(self, status: str | None = None, description: str | None = None) -> None:
         """Add a row, by default with the run's status and kept messages."""
         kept = "".join(f"{message}, " for message in self.messages)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from conform.functions import value_map
 from conform.operators import clean_headers, equi_join, hash_and_drop
 from conform.sinks import write_partitioned
-from conform.sources import read_delimited, read_delimited_checked
+from conform.sources import read_delimited, read_delimited_checked, refuse_rejected
 from conform.sources.delimited import RECORD
 
 # Column names, codes and texts of the input and output files.
@@ -86,12 +86,15 @@ def ingest(
     products: str,
     output: str,
     rejected: str | None = None,
+    most_rejected: int | None = None,
 ) -> int:
     """Read the three kinds of files and write the result, partitioned by route.
 
     Returns the rows written. ``clients`` may be a glob. Fields that do not fit their
     column are null. With ``rejected``, a path, lines with such fields, or with too few
-    or too many, are left out and written there as Parquet, each with its kind of file.
+    or too many, are left out and written there as Parquet, each with its kind of file;
+    the load stops before it writes its output if one kind has more than
+    ``most_rejected`` of them.
     """
     files = {
         "clients": (clients, "|", CLIENT_SCHEMA),
@@ -108,6 +111,9 @@ def ingest(
             for kind, (_, bad) in checked.items()
         ]
         reduce(DataFrame.unionByName, lines).write.mode("overwrite").parquet(rejected)
+        if most_rejected is not None:
+            for _, bad in checked.values():
+                refuse_rejected(bad, most_rejected)
     joined = client_product(*frames)
     # There are three routes, so gathering each would move all rows to save few files.
     return write_partitioned(joined, output, [ROUTE_COLUMN], cluster=False)

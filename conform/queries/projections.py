@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +16,7 @@ from conform.operators import (
     clean_headers,
     combine_columns,
     flatten_struct,
+    map_arrow,
     map_batches,
     null_column,
     project_like,
@@ -310,6 +315,40 @@ def map_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_batches(parts, combine, "p_partkey bigint, full_name string", setup=separator)
 
 
+@query(
+    """
+    select doc_id, sha256(strip_accents(text)) as plain_sha256,
+           length(text) - length(strip_accents(text)) as shorter
+    from documents
+    """,
+    name="map_arrow",
+)
+def plain_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without accents: Spark has no expression for Unicode's normal forms."""
+
+    def marks() -> dict[int, None]:
+        every = range(sys.maxunicode + 1)
+        return {code: None for code in every if unicodedata.category(chr(code)) == "Mn"}
+
+    def plain(batch: pa.RecordBatch, dropped: dict[int, None]) -> pa.RecordBatch:
+        texts = [
+            None if text is None else unicodedata.normalize("NFD", text).translate(dropped)
+            for text in batch.column("text").to_pylist()
+        ]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("text"), pa.array(texts, pa.string())],
+            names=["doc_id", "text", "plain"],
+        )
+
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = map_arrow(documents, plain, "doc_id bigint, text string, plain string", marks)
+    return found.select(
+        "doc_id",
+        F.sha2("plain", 256).alias("plain_sha256"),
+        (F.length("text") - F.length("plain")).cast("bigint").alias("shorter"),
+    )
+
+
 @query("select * from customer")
 def project_to_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer")

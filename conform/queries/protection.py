@@ -10,7 +10,7 @@ from conform.operators import control_pairs, hash_and_drop, new_keys, protect, v
 from conform.operators.protect import CIPHER, HASH, VAULT_SCHEMA
 from conform.queries.registry import fresh_name, query, scratch, table
 from conform.queries.shared import TRIAL_KEY, catalog_table
-from conform.sinks import create_vault, insert
+from conform.sinks import compact_vault, create_vault, insert
 from conform.sources import read_table_or_empty, rows_frame
 
 
@@ -173,6 +173,20 @@ def vault_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(vault).select(HASH, decrypt(F.col(CIPHER), key).alias("plain"))
 
 
+@query(_GROWN_SQL)
+def vault_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both loads find the vault as it was before either, and add what they share twice."""
+    key = cipher_key(spark, TRIAL_KEY)
+    vault = fresh_name("vault")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    create_vault(spark, vault, scratch(spark, "vault"), buckets)
+    none = read_table_or_empty(spark, "no_vault_yet", VAULT_SCHEMA)
+    for load in _two_loads(spark, sf_dir):
+        insert(vault_delta(load, [["custkey"]], key, none), vault)
+    compact_vault(spark, vault, scratch(spark, "compacted"))
+    return spark.table(vault).select(HASH, decrypt(F.col(CIPHER), key).alias("plain"))
+
+
 def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     overdrawn = table(spark, sf_dir, "customer").where(F.col("c_acctbal") < 0)
     orders = table(spark, sf_dir, "orders")

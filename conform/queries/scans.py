@@ -17,6 +17,7 @@ from conform.queries.shared import (
 )
 from conform.sources import (
     read_delimited,
+    read_delimited_by_header,
     read_delimited_checked,
     read_table,
     read_table_or_empty,
@@ -81,7 +82,8 @@ def scan_delimited_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    select s_suppkey, s_name, 'none' as nation, s_nationkey is null as unread
+    select s_suppkey, s_name, 'none' as nation, s_nationkey is null as unread,
+           'supplier' as folder, 0 as block
     from (select s_suppkey, s_name, cast(null as int) as s_nationkey from supplier
           where s_acctbal < 0)
     """
@@ -92,9 +94,36 @@ def scan_delimited_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
         "s_name",
         F.split("rejected_record", ";")[2].alias("nation"),
         F.isnull("s_nationkey").alias("unread"),
+        F.regexp_extract("rejected_file", "([^/]*)/[^/]*$", 1).alias("folder"),
+        F.col("rejected_block").cast("int").alias("block"),
     )
 
 
+@query(
+    """
+    select o_orderkey, case when o_orderpriority < '3' then o_custkey end as o_custkey,
+           case when o_orderpriority < '4' then o_totalprice end as o_totalprice, o_orderstatus
+    from orders
+    """
+)
+def scan_delimited_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one glob: some lack columns, some have them in another order."""
+    columns = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"]
+    orders = table(spark, sf_dir, "orders")
+    path, priority = scratch(spark, "orders"), F.col("o_orderpriority")
+    shards = [
+        (priority < "3", columns),
+        ((priority >= "3") & (priority < "4"), ["o_totalprice", "o_orderstatus", "o_orderkey"]),
+        ((priority >= "4") | priority.isNull(), ["o_orderstatus", "o_shippriority", "o_orderkey"]),
+    ]
+    for number, (part, names) in enumerate(shards):
+        shard = orders.where(part).withColumn("o_shippriority", F.lit(0)).select(*names)
+        writer = shard.write.options(header=True, sep="|", nullValue="null")
+        writer.csv(f"{path}/shard={number}")
+    schema = orders.select(*columns).schema
+    return read_delimited_by_header(spark, f"{path}/shard=*/part-*.csv", "|", schema)
+
+
 @query(
     """
     select cast(p_partkey as int) as p_partkey, p_name, p_brand, p_type, p_size, p_retailprice

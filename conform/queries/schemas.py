@@ -18,7 +18,9 @@ from conform.operators import (
     difference_columns,
     not_null_columns,
 )
-from conform.queries.registry import query, table
+from conform.queries.registry import ORACLE_SQL, query, scratch, table
+from conform.sinks import WrittenCast, write_casts
+from conform.sources import rows_frame
 
 
 def _listed(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -180,3 +182,36 @@ def counted_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cast_impossible(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select("p_partkey", F.split("p_name", " ").alias("words"))
     return cast_checked(parts, "words", "int")
+
+
+def _written(spark: SparkSession, sf_dir: str, truncate: bool = False) -> WrittenCast:
+    mixed = _mixed(spark, sf_dir)
+    return write_casts(mixed, {"number": "int"}, scratch(spark, "casts"), truncate)
+
+
+@query(ORACLE_SQL["cast_checked"])
+def cast_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _written(spark, sf_dir).rows
+
+
+@query(
+    f"""
+    select l_orderkey, l_linenumber, cast(null as int) as number, 'number' as "column",
+           number as value
+    from ({_MIXED_SQL}) as m where not regexp_full_match(number, '[0-9]+')
+    """
+)
+def cast_written_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lost = _written(spark, sf_dir).lost
+    return lost.select("*", F.inline("lost_values")).drop("lost_values")
+
+
+@query(
+    ORACLE_SQL["cast_counts"].replace(" as lost", " as lost, count(*) as written")
+)
+def cast_written_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that the job took which wrote the rows."""
+    written = _written(spark, sf_dir, truncate=True)
+    counts = written.counts["number"]
+    row = (counts.kept, counts.changed, counts.lost, written.written)
+    return rows_frame(spark, [row], "kept bigint, changed bigint, lost bigint, written bigint")

@@ -13,6 +13,7 @@ from conform.sinks import (
     insert,
     move,
     overwrite_partitions,
+    replace_partitions,
     save,
     update_flag,
     write_partitioned,
@@ -124,6 +125,32 @@ def flag_update_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _updated(spark, sf_dir, ("o_orderstatus",))
 
 
+@query(_FLAGGED_SQL)
+def flag_update_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flag partitions its table, so flagged rows move."""
+    return _updated(spark, sf_dir, ("o_orderstatus", "flag"))
+
+
+@query(
+    """
+    select o_orderkey, o_custkey, o_totalprice,
+           case when o_orderpriority like '1%' or o_orderpriority like '5%' then 'again'
+                else 'first' end as load, o_orderpriority
+    from orders
+    """
+)
+def sink_replace_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a catalog table one partition is replaced and one is new."""
+    orders = _orders(spark, sf_dir)
+    known = ~F.coalesce(F.col("o_orderpriority").startswith("5"), F.lit(False))
+    first = orders.where(known).withColumn("load", F.lit("first"))
+    name = catalog_table(spark, first, "orders", ("o_orderpriority",))
+    some = orders.where(F.col("o_orderpriority").rlike("^[15]"))
+    again = some.withColumn("load", F.lit("again"))
+    replace_partitions(again, name, scratch(spark, "replaced"))
+    return spark.table(name)
+
+
 @query("select * from part")
 def schema_gated_move(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, location = fresh_name("part"), scratch(spark, "part")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conform.operators import (
     control_columns,
+    rule_conflicts,
     rules_for,
     standardise,
     standardise_any,
@@ -126,3 +127,65 @@ def controlled_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rules = rules_table(spark, sf_dir)
     return standardise_columns(orders, rules, "orders", control_columns(control), by_column=True)
+
+
+# Two codes for each segment that begins with a letter up to H, none for AUTOMOBILE.
+_DOUBLE_SQL = """
+    select distinct code as codigo_id, c_mktsegment as homologacion
+    from (select c_mktsegment, substr(c_mktsegment, 1, 2) as code from customer
+          union all
+          select c_mktsegment, lower(substr(c_mktsegment, 1, 2)) from customer
+          where c_mktsegment < 'I')
+    where c_mktsegment <> 'AUTOMOBILE'
+"""
+
+
+def _double_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    segment = F.col("c_mktsegment")
+    code = F.substring(segment, 1, 2)
+    codes = F.array(code, F.when(segment < "I", F.lower(code)))
+    customers = table(spark, sf_dir, "customer").where(segment != "AUTOMOBILE")
+    rules = customers.select(
+        F.explode(F.array_compact(codes)).alias("codigo_id"),
+        segment.alias("homologacion"),
+        F.lit("CUSTOMER").alias("tabla"),
+    )
+    return rules_for(rules, "customer")
+
+
+@query(
+    f"""
+    select c_custkey, c_name, c_nationkey, c_acctbal, min(codigo_id) as c_mktsegment
+    from customer join ({_DOUBLE_SQL}) as r on homologacion = customer.c_mktsegment
+    group by all
+    """
+)
+def homologate_first_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = _double_rules(spark, sf_dir)
+    customers = table(spark, sf_dir, "customer")
+    return standardise(customers, rules, "c_mktsegment", conflicts="first")
+
+
+@query(
+    f"""
+    select c_custkey, c_name, c_nationkey, c_acctbal, code as c_mktsegment
+    from customer left join (
+        select homologacion, min(codigo_id) as code from ({_DOUBLE_SQL}) as r
+        group by homologacion having count(*) = 1) as r on homologacion = c_mktsegment
+    """
+)
+def homologate_conflicts_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = _double_rules(spark, sf_dir)
+    customers = table(spark, sf_dir, "customer")
+    return standardise(customers, rules, "c_mktsegment", "left", conflicts="report")
+
+
+@query(
+    f"""
+    select homologacion, count(*) as codes, min(codigo_id) as first, max(codigo_id) as last
+    from ({_DOUBLE_SQL}) as r group by homologacion having count(*) > 1
+    """,
+    name="rule_conflicts",
+)
+def conflicting_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_conflicts(_double_rules(spark, sf_dir))

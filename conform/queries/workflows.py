@@ -110,8 +110,11 @@ _LOADED_SQL = f"""
 """
 
 
-def _load(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Load all orders but pending ones; the names of the tables written."""
+def _load(spark: SparkSession, sf_dir: str, fail: bool = False, **more) -> dict[str, str]:
+    """Load all orders but pending ones; the names of the tables written.
+
+    With ``fail`` a first try has a place for its flags that no file system serves.
+    """
     orders = table(spark, sf_dir, "orders").select(*_SOURCE).withColumn("flag", F.lit("0"))
     audit = fresh_name("audit")
     _create_audit_table(spark, audit)
@@ -120,21 +123,26 @@ def _load(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         "target": fresh_name("protected_orders"),
         "vault": fresh_name("vault"),
     }
-    protected_load(
-        spark,
-        **names,
-        target_location=scratch(spark, "target"),
-        vault_location=scratch(spark, "vault"),
-        rules=rules_table(spark, sf_dir),
-        standard_columns=["o_orderpriority", "o_orderstatus"],
-        groups=[["o_orderstatus", "o_custkey"]],
-        key=TRIAL_KEY,
-        condition="o_orderstatus <> 'P'",
-        rules_name="orders",
-        by_column=True,
-        flag_location=scratch(spark, "flagged"),
-        audit_table=audit,
-    )
+    settings = {
+        "target_location": scratch(spark, "target"),
+        "vault_location": scratch(spark, "vault"),
+        "rules": rules_table(spark, sf_dir),
+        "standard_columns": ["o_orderpriority", "o_orderstatus"],
+        "groups": [["o_orderstatus", "o_custkey"]],
+        "key": TRIAL_KEY,
+        "condition": "o_orderstatus <> 'P'",
+        "rules_name": "orders",
+        "by_column": True,
+        "audit_table": audit,
+    } | more
+    if fail:
+        try:
+            protected_load(spark, **names, **settings, flag_location="nowhere://flags")
+        except RunFailed:
+            pass
+        else:
+            raise AssertionError("the first try should have failed")
+    protected_load(spark, **names, **settings, flag_location=scratch(spark, "flagged"))
     return names | {"audit": audit}
 
 
@@ -156,6 +164,61 @@ def loaded_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(_load(spark, sf_dir)["target"])
 
 
+@query(
+    _LOADED_SQL
+    + """
+    select 'target' as written, o_orderkey, o_totalprice, '0' as flag, o_orderpriority,
+           sha256(plain) as "HashValue1", 'monday' as load_run
+    from loaded
+    union all
+    select 'vault', null, null, null, null, hashvalue, null
+    from (select distinct sha256(plain) as hashvalue from loaded where plain is not null)
+    union all
+    select 'flagged', o_orderkey, null, '1', null, null, null
+    from orders where o_orderkey in (select o_orderkey from loaded)
+    """
+)
+def protected_load_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target, vault and flags after a try that failed at its flags and a second one."""
+    names = _load(spark, sf_dir, fail=True, run_name="monday")
+    rows = spark.table(names["target"]).withColumn("written", F.lit("target"))
+    keys = spark.table(names["vault"]).select(
+        F.lit("vault").alias("written"), F.col(HASH).alias("HashValue1")
+    )
+    flags = spark.table(names["source"]).where("flag = '1'")
+    flags = flags.select(F.lit("flagged").alias("written"), "o_orderkey", "flag")
+    return rows.unionByName(keys, True).unionByName(flags, True)
+
+
+def _control(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A control table as long as lineitem, with names that orders does not have."""
+    lines = table(spark, sf_dir, "lineitem")
+    number = F.col("l_linenumber")
+    other = F.concat(F.lit("c"), F.col("l_orderkey").cast("string"))
+    return lines.select(
+        F.lit("orders").alias("source"),
+        F.when(number == 1, "O_CUSTKEY").otherwise(other).alias("first"),
+        F.when(number == 1, "o_orderstatus")
+        .otherwise(F.concat(other, F.lit(",o_orderpriority")))
+        .alias("second"),
+    )
+
+
+@query(
+    _LOADED_SQL.replace(
+        "s.codigo_id || cast(o_custkey as varchar)", "cast(o_custkey as varchar) || s.codigo_id"
+    )
+    + """
+    select o_orderkey, o_totalprice, '0' as flag, o_orderpriority, sha256(plain) as "HashValue1"
+    from loaded
+    """
+)
+def protected_load_control(spark: SparkSession, sf_dir: str) -> DataFrame:
+    control = _control(spark, sf_dir)
+    names = _load(spark, sf_dir, standard_columns=None, groups=None, control=control)
+    return spark.table(names["target"])
+
+
 @query(
     _LOADED_SQL
     + "select distinct sha256(plain) as hashvalue, plain from loaded where plain is not null"

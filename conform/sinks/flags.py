@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from conform.operators.joins import equi_join
 from conform.sinks.counting import clustered, write_counted
+from conform.sinks.partitions import moved, quoted, swap
 from conform.sinks.tables import described, partition_columns
 
 _MEETS = "__meets"
@@ -34,30 +35,47 @@ def update_flag(
     value: str = "1",
     table_format: str = "parquet",
     among: Sequence[tuple[str, DataFrame]] = (),
+    resume: bool = False,
 ) -> int:
     """Set ``flag`` on the rows of a table that meet ``condition``.
 
     ``among`` gives columns with a frame of one column each: only rows whose value is
     in it are flagged.
 
-    Of a partitioned table the partitions with such rows are written again, in
-    place. Another table is written anew to ``location``, which must
-    be unused, and the table is then pointed there; its old files stay.
-    Returns the rows written. Meant for a single writer.
+    Of a partitioned table the partitions with such rows are written again: to
+    ``location``, where the table is then pointed at them, see `swap`, or in place if
+    that is empty. Where the flag itself partitions the table its rows move, which
+    takes a location: partitions left and partitions entered are written whole, and those
+    left empty are dropped. Another table is written anew to ``location``, which must be
+    unused, and the table is then pointed there; its old files stay.
+
+    With ``resume`` the location names the update: a call that failed can be repeated
+    with it, and one that had ended does nothing. Returns the rows written. Meant for a
+    single writer.
     """
     source = spark.table(table)
     names = partition_columns(source, table)
-    if flag in names:
-        # A partition that loses all its rows would stay, one that gains some lose its own.
-        raise ValueError(f"{flag} is a partition column of {table}; its rows would have to move")
     marked = _marked(source, condition, among)
+    if names and location:
+        if flag in names:
+            return _moved(spark, table, marked, flag, value, names, location)
+        affected = _affected(marked, F.col(_MEETS), names)
+        updated = flagged(affected, F.col(_MEETS), flag, value).select(*source.columns)
+        return swap(updated, table, location)
+    if flag in names:
+        raise ValueError(f"{flag} is a partition column of {table}; its rows need a location")
+    if names and moved(spark, table):
+        raise ValueError(f"partitions of {table} lie outside of its folder; give a location")
     if not names:
+        if resume and _same_place(described(spark, table)["Location"], location):
+            return 0
         rows = write_counted(
             flagged(marked, F.col(_MEETS), flag, value).select(*source.columns),
-            lambda out: out.write.format(table_format).mode("error").save(location),
+            lambda out: out.write.format(table_format)
+            .mode("overwrite" if resume else "error")
+            .save(location),
         )
-        quoted = location.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{quoted}'")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {quoted(location)}")
     else:
         affected = _affected(marked, F.col(_MEETS), names)
         updated = flagged(affected, F.col(_MEETS), flag, value).select(*source.columns)
@@ -90,7 +108,10 @@ def _affected(source: DataFrame, condition: Column | str, names: list[str]) -> D
     all partition columns together say which they are. Nulls are matched apart, as
     equality alone lets Spark prune the scan.
     """
-    touched = source.where(condition).select(*names).distinct()
+    return _within(source, source.where(condition).select(*names).distinct(), names)
+
+
+def _within(source: DataFrame, touched: DataFrame, names: list[str]) -> DataFrame:
     some_null = reduce(or_, (F.col(name).isNull() for name in names))
     whole = source.where(~some_null).join(touched.where(~some_null), names, "left_semi")
     left, right = source.where(some_null).alias("l"), touched.where(some_null).alias("r")
@@ -99,8 +120,37 @@ def _affected(source: DataFrame, condition: Column | str, names: list[str]) -> D
     return whole.select(*source.columns).unionByName(partly)
 
 
+def _moved(
+    spark: SparkSession,
+    table: str,
+    marked: DataFrame,
+    flag: str,
+    value: str,
+    names: list[str],
+    location: str,
+) -> int:
+    """Write anew all partitions that rows leave or enter, and swap them in.
+
+    Rows that have the flag already move nowhere, so a partition of them only stays.
+    """
+    source = spark.table(table)
+    new = F.lit(value).cast(source.schema[flag].dataType)
+    moving = marked.where(F.col(_MEETS) & ~F.col(flag).eqNullSafe(new)).select(*names).distinct()
+    entered = moving.withColumn(flag, new).distinct()
+    closure = moving.unionByName(entered).distinct()
+    affected = _within(marked, closure, names)
+    updated = flagged(affected, F.col(_MEETS), flag, value).select(*source.columns)
+    return swap(updated, table, location, touched=moving)
+
+
 def _replace_partitions(df: DataFrame, table: str, names: list[str]) -> None:
     """Write to the table's own folder: there the mode is the write's, not the session's."""
     about = described(df.sparkSession, table)
     writer = df.write.format(about["Provider"]).mode("overwrite").partitionBy(*names)
     writer.option("partitionOverwriteMode", "dynamic").save(about["Location"])
+
+
+def _same_place(one: str, other: str) -> bool:
+    """Whether two paths agree, but for the file system that one may leave out."""
+    paths = [path.split(":", 1)[-1].strip("/") for path in (one, other)]
+    return paths[0] == paths[1]

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -36,3 +40,19 @@ def read_table_or_empty(
 def run_sql(spark: SparkSession, query: str, **frames: DataFrame) -> DataFrame:
     """Run SQL text in which ``{name}`` stands for the DataFrame ``name``."""
     return spark.sql(query, **frames)
+
+
+@contextmanager
+def kept(
+    df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK
+) -> Iterator[DataFrame]:
+    """Keep a frame's rows for the actions inside of a ``with``, and then let them go.
+
+    They stay on the executors; what a lost one held is worked out again from the sources,
+    which must not change meanwhile. Nothing stays behind, after an error neither.
+    """
+    held = df.persist(level)
+    try:
+        yield held
+    finally:
+        held.unpersist(blocking=True)

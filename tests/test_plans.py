@@ -194,12 +194,13 @@ def load(spark, tmp_path, audit_table):
              "vault": f"vault_{uuid.uuid4().hex}"}
 
     def run(**more) -> LoadResult:
-        return protected_load(
-            spark, **names, target_location=str(tmp_path / "target"),
-            vault_location=str(tmp_path / "vault"), rules=rules, rules_name="clientes",
-            standard_columns=["tipo"], groups=[["tipo", "id"]], key="0123456789abcdef",
-            audit_table=audit_table, **more,
-        )
+        settings = {
+            "target_location": str(tmp_path / "target"),
+            "vault_location": str(tmp_path / "vault"), "rules": rules,
+            "rules_name": "clientes", "standard_columns": ["tipo"],
+            "groups": [["tipo", "id"]], "key": "0123456789abcdef", "audit_table": audit_table,
+        }
+        return protected_load(spark, **names, **(settings | more))
 
     yield run, names
     for name in names.values():
@@ -259,3 +260,55 @@ def test_the_key_is_not_in_the_audit_or_the_log(load, audit_table, spark, caplog
     assert "0123456789abcdef" not in caplog.text
     text = spark.table(audit_table).select(F.to_json(F.struct("*"))).collect()
     assert "0123456789abcdef" not in str(text)
+
+
+def test_a_named_load_is_repeated_until_it_is_whole(spark, load, audit_table, tmp_path):
+    run, names = load
+    with pytest.raises(RunFailed, match="nowhere"):
+        run(run_name="r1", flag_location="nowhere://flags")
+    assert spark.table(names["target"]).count() == 5
+    assert spark.table(names["source"]).where("flag = '1'").count() == 0
+    for _ in range(2):
+        result = run(run_name="r1", flag_location=str(tmp_path / "flagged"))
+        assert result == LoadResult(6, 5, 0)
+    target = spark.table(names["target"])
+    assert target.columns == ["nombre", "flag", "HashValue1", "load_run"]
+    assert target.count() == 5 and spark.table(names["vault"]).count() == 3
+    assert spark.table(names["source"]).where("flag = '1'").count() == 5
+    told = spark.table(audit_table).where("descripcion like 'r1 was published before, %'")
+    assert told.count() == 2
+    assert run(run_name="r2", condition="id = 10").rows_loaded == 3
+    assert spark.table(names["target"]).count() == 8
+
+
+def test_a_load_lets_its_rows_go_and_takes_no_row_twice(spark, load, audit_table, tmp_path):
+    run, names = load
+    cache = spark._jsparkSession.sharedState().cacheManager()
+    rules = rows_frame(
+        spark, [("CC", "1", "CLIENTES"), ("XX", "1", "CLIENTES"), ("CE", "2", "CLIENTES")],
+        "codigo_id string, homologacion string, tabla string",
+    )
+    assert run(rules=rules, target_format="orc", target_partitions=["flag"]) == LoadResult(6, 5, 3)
+    assert cache.isEmpty()
+    closed = spark.table(audit_table).where("estado = 'WARN'").first()
+    assert "tipo: values with several codes (1)" in closed.descripcion
+    about = spark.sql(f"describe extended {names['target']}")
+    assert about.where("col_name = 'Provider'").first()["data_type"] == "orc"
+    with pytest.raises(RunFailed, match="several codes for 1"):
+        run(rules=rules, conflicts="refuse")
+    assert cache.isEmpty()
+    with pytest.raises(RunFailed, match="control table"):
+        run(standard_columns=None)
+
+
+def test_a_load_driven_by_a_control_table(spark, load):
+    run, names = load
+    control = rows_frame(
+        spark, [("clients", "ID", "tipo"), ("clients", "other", "tipo,none"), ("x", None, None)],
+        "a string, b string, c string",
+    )
+    assert run(standard_columns=None, groups=None, control=control) == LoadResult(6, 5, 3)
+    target = spark.table(names["target"])
+    assert target.columns == ["nombre", "flag", "HashValue1"]
+    expected = hashlib.sha256(b"10CC").hexdigest()
+    assert target.where("nombre = 'Ana'").first()["HashValue1"] == expected

@@ -178,10 +178,10 @@ def test_update_flag_rewrites_only_touched_partitions(spark, df, table, tmp_path
     assert update_flag(spark, table, "id = 77", "") == 0
 
 
-def test_a_flag_that_partitions_its_table_is_refused(spark, df, table, tmp_path):
+def test_a_flag_that_partitions_its_table_needs_a_location(spark, df, table, tmp_path):
     save(df, table, str(tmp_path / "t"), partitions=["flag"])
     with pytest.raises(ValueError, match="partition column"):
-        update_flag(spark, table, "id = 1", "")
+        update_flag(spark, table, "id = 1", "")  # without a location
     assert tuples(spark.table(table).select("id")) == tuples(df.select("id"))
 
 
