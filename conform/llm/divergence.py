@@ -10,12 +10,15 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import groupby
+from dataclasses import dataclass
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,9 +30,11 @@ DOCUMENTS = 3
 WHOLE = 1_000_000_000
 #: Terms reported of each group.
 RANKS = 200
-#: Counts held in memory before a run is written, counts in a piece of a run, pairs of
-#: sources of one term worked out at once, and sums of pairs held before they are handed on.
-HELD, PIECE, PAIRS, SUMS = 300_000, 4_096, 1_000_000, 1_000_000
+#: Counts held in memory before a run is written, terms in a piece of a run, pieces taken
+#: up at a time, pairs of sources of one term worked out at once, and sums of pairs held
+#: before they are handed on.
+HELD, PIECE, WINDOW = 600_000, 128, 256
+PAIRS, SUMS = 1_000_000, 1_000_000
 
 # All but ASCII letters and what is not ASCII parts words; bytes beyond ASCII stay.
 _LETTERS = bytes(
@@ -40,15 +45,18 @@ _RUN = pa.schema(
     [
         ("shard", pa.int32()),
         ("lang", pa.string()),
-        ("first", pa.string()),
-        ("terms", pa.list_(pa.string())),
-        ("sources", pa.list_(pa.string())),
+        ("first", pa.binary()),
+        ("terms", pa.list_(pa.binary())),
+        ("documents", pa.list_(pa.int64())),
+        ("ends", pa.list_(pa.int32())),
+        ("names", pa.list_(pa.string())),
+        ("owners", pa.list_(pa.int32())),
         ("counts", pa.list_(pa.int64())),
     ]
 )
 _RUN_DDL = (
-    "shard int, lang string, first string, terms array<string>, sources array<string>, "
-    "counts array<bigint>"
+    "shard int, lang string, first binary, terms array<binary>, documents array<bigint>, "
+    "ends array<int>, names array<string>, owners array<int>, counts array<bigint>"
 )
 
 
@@ -73,58 +81,181 @@ class Postings:
             counter.update(found)
             self.held += len(counter) - before
 
-    def run(self, shards: int) -> Iterator[tuple]:
-        """All counts in pieces of at most `PIECE`, sorted by term, each of one shard; then none.
+    def run(self, shards: int) -> Iterator[pa.RecordBatch]:
+        """All counts in pieces of at most `PIECE` terms of one shard, sorted by term; then none.
 
-        A count of documents comes with a null source.
+        A piece lists its terms, in how many documents each comes, where its postings
+        end, and all postings: which of the named sources, and how often.
         """
         for lang, groups in self.counts.items():
-            salt = zlib.crc32(lang.encode())
-            dealt: list[list] = [[] for _ in range(shards)]
-            for source, counter in groups.items():
-                for term, count in counter.items():
-                    shard = dealt[zlib.crc32(term, salt) % shards]
-                    shard.append((term, source or "", source is None, count))
-            for shard, entries in enumerate(dealt):
-                entries.sort()
-                for at in range(0, len(entries), PIECE):
-                    piece = entries[at : at + PIECE]
-                    words = [e[0].decode() for e in piece]
-                    sources = [None if e[2] else e[1] for e in piece]
-                    yield shard, lang, words[0], words, sources, [e[3] for e in piece]
+            within = groups.pop(None)
+            if within:
+                yield _run(lang, within, groups, shards)
         self.counts, self.held = {}, 0
 
 
-def merged(pieces: Iterable[tuple]) -> Iterator[tuple]:
-    """Entries ``(lang, term, source, count)`` in order, from pieces in the order of their firsts.
+def _run(lang: str, within: Counter, groups: dict[str, Counter], shards: int) -> pa.RecordBatch:
+    found = pa.array(list(chain.from_iterable(groups.values())), pa.binary()).dictionary_encode()
+    known, number = found.dictionary, found.indices.to_numpy()
+    counts = np.fromiter(chain.from_iterable(c.values() for c in groups.values()), np.int64)
+    owners = np.repeat(np.arange(len(groups)), [len(c) for c in groups.values()])
+    listed, salt = known.to_pylist(), zlib.crc32(lang.encode())
+    shard = np.fromiter((zlib.crc32(term, salt) % shards for term in listed), np.int32)
+    documents = np.fromiter((within[term] for term in listed), np.int64)
+    rank = np.empty(len(known), np.int64)
+    rank[pc.array_sort_indices(known).to_numpy()] = np.arange(len(known))
+    order = np.lexsort((rank, shard))
+    place = np.empty(len(known), np.int64)
+    place[order] = np.arange(len(known))
+    # Postings by the place of their terms.
+    by_term = np.argsort(place[number], kind="stable")
+    owners, counts = owners[by_term], counts[by_term]
+    ends = np.cumsum(np.bincount(place[number], minlength=len(known)))
+    shard, words = shard[order], known.take(pa.array(order))
+    edges = np.flatnonzero(np.diff(shard, prepend=-1))
+    width = np.diff(np.append(edges, len(shard)))
+    starts = np.concatenate([e + np.arange(0, w, PIECE) for e, w in zip(edges, width)])
+    cuts = np.append(starts, len(shard))
+    first = np.concatenate([[0], ends])[cuts]
+    names, all_names = [], list(groups)
+    for begin, end in zip(first[:-1], first[1:]):
+        own, owners[begin:end] = np.unique(owners[begin:end], return_inverse=True)
+        names.append([all_names[n] for n in own])
+
+    def listed_at(offsets: np.ndarray, values, kind: pa.DataType) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
+
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(shard[starts], pa.int32()),
+            pa.array([lang] * len(starts), pa.string()),
+            words.take(pa.array(starts)),
+            listed_at(cuts, words, pa.binary()),
+            listed_at(cuts, documents[order], pa.int64()),
+            listed_at(cuts, ends - np.repeat(first[:-1], np.diff(cuts)), pa.int32()),
+            pa.array(names, pa.list_(pa.string())),
+            listed_at(first, owners, pa.int32()),
+            listed_at(first, counts, pa.int64()),
+        ],
+        schema=_RUN,
+    )
+
+
+@dataclass
+class _Piece:
+    """A piece of a run, read up to the term at ``at``."""
+
+    terms: pa.BinaryArray
+    documents: np.ndarray
+    ends: np.ndarray
+    owners: np.ndarray
+    counts: np.ndarray
+    at: int = 0
+
+    def before(self, border: bytes | None) -> tuple:
+        """What is left below a border, which is then passed."""
+        begin, end = self.at, len(self.terms)
+        if border is not None:
+            end = bisect_left(range(end), border, begin, key=lambda n: self.terms[n].as_py())
+        edges = np.concatenate([[0], self.ends])
+        self.at = end
+        first, last = edges[begin], edges[end]
+        return (
+            self.terms.slice(begin, end - begin),
+            self.documents[begin:end],
+            np.diff(edges[begin : end + 1]),
+            self.owners[first:last],
+            self.counts[first:last],
+        )
 
-    Only pieces that have begun and have not ended are open: whatever comes before the
-    next piece's first term is final. Order is that of UTF-8, as Spark's is.
-    """
-    heap: list[tuple] = []
 
-    def drained(until: tuple | None) -> Iterator[tuple]:
-        while heap and (until is None or heap[0][:2] < until):
-            lang, term, number, source, count, rest = heap[0]
-            yield lang, term, source, count
-            following = next(rest, None)
+def _pieces(
+    batches: Iterable[pa.RecordBatch], sources: dict[str, int]
+) -> Iterator[tuple[str, bytes, _Piece]]:
+    """Language, first term and contents of each piece; sources get numbers of the task's."""
+
+    def listed(column: pa.ListArray) -> tuple[pa.Array, np.ndarray]:
+        offsets = column.offsets.to_numpy()
+        return column.flatten(), offsets - offsets[0]
+
+    for batch in batches:
+        langs, names = batch["lang"].to_pylist(), batch["names"].to_pylist()
+        terms, edge = listed(batch["terms"])
+        documents, _ = listed(batch["documents"])
+        ends, _ = listed(batch["ends"])
+        owners, posting = listed(batch["owners"])
+        counts, _ = listed(batch["counts"])
+        documents, ends, owners, counts = (
+            column.to_numpy() for column in (documents, ends, owners, counts)
+        )
+        for row, (lang, own) in enumerate(zip(langs, names)):
+            number = np.array([sources.setdefault(name, len(sources)) for name in own])
+            at, to, first, last = edge[row], edge[row + 1], posting[row], posting[row + 1]
+            yield lang, terms[at].as_py(), _Piece(
+                terms.slice(at, to - at),
+                documents[at:to],
+                ends[at:to],
+                number[owners[first:last]],
+                counts[first:last],
+            )
+
+
+def merged(pieces: Iterable[tuple[bytes, _Piece]]) -> Iterator[tuple]:
+    """Blocks of terms in order, from the pieces of all runs in the order of their firsts.
+
+    A heap holds the open pieces by their next terms. Some pieces are taken up at a time;
+    whatever lies before the first term of the next one is final, and only pieces that
+    reach below that border are read, up to it. A block has its terms, the documents of
+    each, and for its postings the number of the term, the source and the count, sorted.
+    """
+    heap: list[tuple[bytes, int, _Piece]] = []
+    ahead = iter(pieces)
+    following = next(ahead, None)
+    number = 0
+    while heap or following:
+        for _ in range(WINDOW):
             if following is None:
-                heapq.heappop(heap)
+                break
+            heapq.heappush(heap, (following[0], number, following[1]))
+            following = next(ahead, None)
+            number += 1
+        border = following[0] if following else None
+        read = []
+        while heap and (border is None or heap[0][0] < border):
+            _, order, piece = heap[0]
+            read.append(piece.before(border))
+            if piece.at < len(piece.terms):
+                heapq.heapreplace(heap, (piece.terms[piece.at].as_py(), order, piece))
             else:
-                heapq.heapreplace(heap, (lang, following[0].encode(), number, *following[1:], rest))
-
-    for number, (lang, words, sources, counts) in enumerate(pieces):
-        rest = zip(words, sources, counts)
-        word, source, count = next(rest)
-        first = (lang.encode(), word.encode())
-        yield from drained(first)
-        heapq.heappush(heap, (*first, number, source, count, rest))
-    yield from drained(None)
+                heapq.heappop(heap)
+        if read:
+            yield _summed(*zip(*read))
+
+
+def _summed(terms, documents, sizes, owners, counts) -> tuple:
+    """Entries of equal terms, and their postings of equal sources, as one."""
+    found = pa.concat_arrays(terms).dictionary_encode()
+    known, number = found.dictionary, found.indices.to_numpy()
+    rank = np.empty(len(known), np.int64)
+    order = pc.array_sort_indices(known)
+    rank[order.to_numpy()] = np.arange(len(known))
+    number = rank[number]
+    within = np.bincount(number, np.concatenate(documents), len(known)).astype(np.int64)
+    term = np.repeat(number, np.concatenate(sizes))
+    owner, count = np.concatenate(owners), np.concatenate(counts)
+    sort = np.lexsort((owner, term))
+    term, owner, count = term[sort], owner[sort], count[sort]
+    heads = np.flatnonzero(
+        (np.diff(term, prepend=-1) != 0) | (np.diff(owner, prepend=-1) != 0)
+    )
+    return known.take(order), within, term[heads], owner[heads], np.add.reduceat(count, heads)
 
 
 def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
-        yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+        for at in range(0, batch.num_rows, 256):
+            block = batch.slice(at, 256)
+            yield from zip(*(column.to_pylist() for column in block.columns), strict=True)
 
 
 def _batches(rows: Iterator[tuple], schema: pa.Schema, size: int) -> Iterator[pa.RecordBatch]:
@@ -160,8 +291,8 @@ def frequencies(documents: DataFrame, shards: int | None = None) -> DataFrame:
         for lang, source, text in _rows(batches):
             postings.add(lang, source, text)
             if postings.held >= HELD:
-                yield from _batches(postings.run(dealt), _RUN, 256)
-        yield from _batches(postings.run(dealt), _RUN, 256)
+                yield from postings.run(dealt)
+        yield from postings.run(dealt)
 
     kept = pa.schema(
         [
@@ -174,26 +305,29 @@ def frequencies(documents: DataFrame, shards: int | None = None) -> DataFrame:
         ]
     )
 
-    def frequent(entries: Iterator[tuple]) -> Iterator[tuple]:
-        for (lang, term), same in groupby(entries, key=lambda e: e[:2]):
-            held: dict[str, int] = {}
-            within = 0
-            for _, _, source, count in same:
-                if source is None:
-                    within += count
-                else:
-                    held[source] = held.get(source, 0) + count
-            if within >= DOCUMENTS:
-                total = sum(held.values())
-                for number, (source, n) in enumerate(held.items()):
-                    yield lang.decode(), term.decode(), source, n, total, number == 0
-
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _batches(frequent(merged(_rows(batches))), kept, 8192)
+        sources: dict[str, int] = {}
+        for lang, own in groupby(_pieces(batches, sources), key=lambda piece: piece[0]):
+            for words, within, term, owner, n in merged(piece[1:] for piece in own):
+                total = np.bincount(term, n, len(words)).astype(np.int64)
+                frequent = within[term] >= DOCUMENTS
+                term, owner, n = term[frequent], owner[frequent], n[frequent]
+                named = pa.array(list(sources), pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([lang] * len(term), pa.string()),
+                        words.take(pa.array(term)).cast(pa.string()),
+                        named.take(pa.array(owner)),
+                        pa.array(n),
+                        pa.array(total[term]),
+                        pa.array(np.diff(term, prepend=-1) != 0),
+                    ],
+                    schema=kept,
+                )
 
     runs = documents.select("lang", "source", "text").mapInArrow(index, _RUN_DDL)
     by_shard = runs.repartition("shard").sortWithinPartitions("lang", "first")
-    return by_shard.select("lang", "terms", "sources", "counts").mapInArrow(
+    return by_shard.drop("shard", "first").mapInArrow(
         merge, "lang string, term string, source string, n long, total long, head boolean"
     )
 
@@ -228,55 +362,68 @@ def _corrections(postings: DataFrame) -> DataFrame:
     def correct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[tuple, int] = {}
         # The last term of a batch may go on in the next one.
-        waiting: list[tuple] = []
+        waiting: list[pa.RecordBatch] = []
 
         def handed() -> Iterator[pa.RecordBatch]:
             rows = ((*pair, value) for pair, value in totals.items() if value)
             yield from _batches(rows, out, 8192)
             totals.clear()
 
-        for batch in batches:
-            waiting += _rows([batch])
-            last = waiting[-1][:2]
-            cut = len(waiting)
-            while cut and waiting[cut - 1][:2] == last:
-                cut -= 1
-            for pairs in _block(waiting[:cut]):
-                _add(totals, pairs)
+        def added(block: pa.Table) -> Iterator[pa.RecordBatch]:
+            for pairs in _block(block.combine_chunks()):
+                for pair, value in pairs.items():
+                    totals[pair] = totals.get(pair, 0) + value
                 if len(totals) >= SUMS:
                     yield from handed()
-            waiting = waiting[cut:]
-        for pairs in _block(waiting):
-            _add(totals, pairs)
-            if len(totals) >= SUMS:
-                yield from handed()
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            last = _heads(pa.Table.from_batches([batch]))[-1]
+            if last:
+                yield from added(pa.Table.from_batches([*waiting, batch.slice(0, last)]))
+                waiting = []
+            waiting.append(batch.slice(last))
+        if waiting:
+            yield from added(pa.Table.from_batches(waiting))
         yield from handed()
 
-    ready = postings.repartition("lang", "term").sortWithinPartitions("lang", "term")
+    shared = postings.where("not alone").repartition("lang", "term")
+    ready = shared.sortWithinPartitions("lang", "term")
     ready = ready.select("lang", "term", "source", "p", "p0")
     found = ready.mapInArrow(correct, "lang string, source string, item string, value long")
     return found.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
 
-def _add(totals: dict[tuple, int], pairs: dict[tuple, int]) -> None:
-    for pair, value in pairs.items():
-        totals[pair] = totals.get(pair, 0) + value
+def _heads(rows: pa.Table) -> np.ndarray:
+    """Where a new term begins."""
+    new = np.ones(rows.num_rows, bool)
+    if rows.num_rows > 1:
+        one, two = rows.slice(1), rows.slice(0, rows.num_rows - 1)
+        other = pc.or_(
+            pc.not_equal(one["term"], two["term"]), pc.not_equal(one["lang"], two["lang"])
+        )
+        new[1:] = other.to_numpy()
+    return np.flatnonzero(new)
 
 
-def _block(rows: list[tuple]) -> Iterator[dict[tuple, int]]:
+def _block(rows: pa.Table) -> Iterator[dict[tuple, int]]:
     """Sums of corrections by ordered pair of sources, a bounded number of pairs at a time."""
-    if not rows:
-        return
-    sizes = np.array([len(list(same)) for _, same in groupby(rows, key=lambda r: r[:2])])
-    groups: dict[tuple, int] = {}
-    whose = np.array([groups.setdefault((r[0], r[2]), len(groups)) for r in rows])
-    names = list(groups)
-    p, p0 = np.array([r[3] for r in rows]), np.array([r[4] for r in rows])
+    sizes = np.diff(np.append(_heads(rows), rows.num_rows))
+    langs, sources = (
+        rows[name].combine_chunks().dictionary_encode() for name in ("lang", "source")
+    )
+    codes = langs.indices.to_numpy().astype(np.int64) * len(sources.dictionary)
+    group, whose = np.unique(codes + sources.indices.to_numpy(), return_inverse=True)
+    named = [divmod(int(code), len(sources.dictionary)) for code in group]
+    langs, sources = langs.dictionary.to_pylist(), sources.dictionary.to_pylist()
+    names = [(langs[lang], sources[source]) for lang, source in named]
+    p, p0 = rows["p"].to_numpy(), rows["p0"].to_numpy()
     start = np.repeat(np.cumsum(sizes) - sizes, sizes)
     width = np.repeat(sizes, sizes)
     reach = np.cumsum(width)
     at = 0
-    while at < len(rows):
+    while at < len(p):
         done = reach[at - 1] if at else 0
         stop = max(at + 1, int(np.searchsorted(reach, done + PAIRS, "right")))
         left = np.repeat(np.arange(at, stop), width[at:stop])
@@ -339,8 +486,8 @@ def source_divergence(documents: DataFrame, shards: int | None = None) -> DataFr
         "lang",
         "term",
         "source",
-        "n",
         "p0",
+        (F.col("n") == F.col("total")).alias("alone"),
         _chance(F.col("n"), F.expr("mass + size")).alias("p"),
         _chance(F.col("total"), F.expr("whole_mass + size")).alias("q"),
     )

@@ -6,10 +6,11 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from conform.llm import divergence
-from conform.llm.divergence import Postings, merged, source_divergence, terms
+from conform.llm.divergence import Postings, _pieces, merged, source_divergence, terms
 
 SCHEMA = "doc_id long, text string, lang string, source string, term string, p long, size int"
 WORD = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
@@ -89,44 +90,58 @@ def test_divergence_matches_plain_python(spark):
     assert told(spark, rows) == expected(rows)
 
 
-@pytest.mark.parametrize("held, piece, pairs, sums", [(3, 2, 1, 1), (20, 1, 7, 3)])
-def test_small_memory_changes_nothing(spark, monkeypatch, held, piece, pairs, sums):
-    """Many runs of many pieces, a few pairs at once: functions go to the workers by value."""
+@pytest.mark.parametrize("piece, window", [(2, 1), (1, 3), (3, 7)])
+def test_runs_are_merged_whole(monkeypatch, piece, window):
+    """Many runs of many pieces, a few of them taken up at once."""
     rows = documents()[:60] + documents()[-9:]
-    for name, value in (("HELD", held), ("PIECE", piece), ("PAIRS", pairs), ("SUMS", sums)):
-        monkeypatch.setattr(divergence, name, value)
-    postings = Postings()
-    pieces = []
-    counts = Counter()
+    monkeypatch.setattr(divergence, "PIECE", piece)
+    monkeypatch.setattr(divergence, "WINDOW", window)
+    postings, batches = Postings(), []
+    counts, within = Counter(), Counter()
     for _, text, lang, source, *_ in rows:
         postings.add(lang or "", source or "", text or "")
-        counts.update((lang or "", source or "", t) for t in terms(text or ""))
-        if postings.held >= held:
-            pieces += postings.run(3)
-    pieces += postings.run(3)
-    assert len(pieces) > 20 and postings.held == 0
-    assert max(len(p[3]) for p in pieces) <= piece
-    again = Counter()
-    for shard in range(3):
-        own = sorted((p for p in pieces if p[0] == shard), key=lambda p: (p[1].encode(), p[2].encode()))
-        order = []
-        for lang, term, source, count in merged(p[1:2] + p[3:] for p in own):
-            order.append((lang, term))
-            if source is not None:
-                again[lang.decode(), source, term] += count
-        assert order == sorted(order)
-    assert again == counts
+        words = terms(text or "")
+        counts.update((lang or "", source or "", t) for t in words)
+        within.update((lang or "", t) for t in set(words))
+        if postings.held >= 20:
+            batches += postings.run(3)
+    batches += postings.run(3)
+    pieces = pa.Table.from_batches(batches)
+    assert pieces.num_rows > 20 and postings.held == 0
+    assert max(map(len, pieces["terms"].to_pylist())) <= piece
+    again, documents_of = Counter(), Counter()
+    keys = [pieces[name].to_pylist() for name in ("shard", "lang", "first")]
+    sources: dict = {}
+    for shard, lang in sorted(set(zip(*keys[:2]))):
+        own = [n for n, key in enumerate(zip(*keys)) if key[:2] == (shard, lang)]
+        own.sort(key=lambda n: keys[2][n])
+        ordered = pieces.take(own).combine_chunks().to_batches()
+        seen = []
+        for words, of, term, owner, n in merged(p[1:] for p in _pieces(ordered, sources)):
+            names, words = list(sources), words.to_pylist()
+            seen += words
+            documents_of.update({(lang, w): int(x) for w, x in zip(words, of)})
+            for t, o, x in zip(term, owner, n):
+                again[lang, names[o], words[t]] += int(x)
+        assert seen == sorted(set(seen))
+    assert again == counts and documents_of == within
+
+
+@pytest.mark.parametrize("pairs", [1, 7, 1000])
+def test_corrections_a_few_pairs_at_once(monkeypatch, pairs):
+    monkeypatch.setattr(divergence, "PAIRS", pairs)
     block = [("l", "t1", s, p, 3) for s, p in (("a", 50), ("b", 7), ("c", 9))]
     block += [("l", "t2", s, p, 4) for s, p in (("b", 30), ("c", 8))] + [("m", "t3", "a", 2, 1)]
     summed = Counter()
-    for found in divergence._block(block):
+    columns = dict(zip(("lang", "term", "source", "p", "p0"), zip(*block)))
+    for found in divergence._block(pa.table({k: list(v) for k, v in columns.items()})):
         summed.update(found)
     plain = Counter()
     for one in block:
         for two in block:
             if one[:2] == two[:2] and one[2] != two[2]:
-                f = [(a - b) ** 2 // b for a, b in ((one[3], two[3]), (one[3], two[4]), (one[4], two[3]), (one[4], two[4]))]
-                plain[one[0], one[2], two[2]] += f[0] - f[1] - f[2] + f[3]
+                f = [[(a - b) ** 2 // b for b in two[3:]] for a in one[3:]]
+                plain[one[0], one[2], two[2]] += f[0][0] - f[0][1] - f[1][0] + f[1][1]
     assert summed == plain
 
 
