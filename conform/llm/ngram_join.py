@@ -23,7 +23,7 @@ from pyspark.sql.types import LongType
 from conform.llm.arrow import arrow_schema, blocks
 from conform.llm.components import components
 from conform.llm.hashing import shingles
-from conform.llm.tables import stored
+from conform.llm.tables import free_name, numbered, stored
 
 WORDS = 5
 #: Similarity from which documents link, in hundredths.
@@ -441,13 +441,13 @@ def without_similar(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Of each group of similar documents the row with the least identifier; all columns.
 
     Rows that link with nothing stay. Of rows that repeat an identifier and are alike
-    one stays: the first in the order in which Spark read them.
+    one stays: the first in the order of their files and places there.
     """
-    names = docs.columns
-    rows = docs.withColumn("_at", F.monotonically_increasing_id())
-    sets = text_sets(rows.select(F.col("_at").alias("doc_id"), "text"), words)
+    names, at = docs.columns, free_name(docs, "_at")
+    rows = numbered(docs, at)
+    sets = text_sets(rows.select(F.col(at).alias("doc_id"), "text"), words)
     sets = stored(sets.withColumnRenamed("doc_id", "_at"), "shared")
-    ids = stored(rows.select("doc_id", "_at"), "ids")
+    ids = stored(rows.select("doc_id", F.col(at).alias("_at")), "ids")
     groups = _grouped(sets.where("grams is not null").join(ids, "_at"))
-    dropped = groups.where("node <> _first").join(sets, "node").select("_at")
-    return rows.join(stored(dropped, "dropped"), "_at", "left_anti").select(*names)
+    dropped = groups.where("node <> _first").join(sets, "node").select(F.col("_at").alias(at))
+    return rows.join(stored(dropped, "dropped"), at, "left_anti").select(*names)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from conform.llm.tables import stored, text_or_empty
+from conform.llm.tables import free_name, numbered, stored, text_or_empty
 
 # Fixed patterns. Each takes what it can; what is too short is dropped afterwards.
 ASSIGN = (
@@ -40,15 +40,16 @@ def _found(kind: str, pattern: str) -> Column:
     )
 
 
-def matches(documents: DataFrame, patterns: dict[str, str]) -> DataFrame:
+def matches(
+    documents: DataFrame, patterns: dict[str, str], row: str | None = None
+) -> DataFrame:
     """One row for each match: ``_row, doc_id, kind, start, end, match``, in code points.
 
-    A document without any has one row of nulls. A place is the sum of the lengths of
+    ``row`` names a column that numbers the documents, else they get numbers here. A document without any has one row of nulls. A place is the sum of the lengths of
     all that comes before, so no text leaves the task that reads it.
     """
-    rows = documents.select(
-        F.monotonically_increasing_id().alias("_row"), "doc_id", text_or_empty().alias("_text")
-    )
+    number = F.monotonically_increasing_id() if row is None else F.col(row)
+    rows = documents.select(number.alias("_row"), "doc_id", text_or_empty().alias("_text"))
     kinds = F.array_compact(F.array(*(_found(k, p) for k, p in patterns.items())))
     found = rows.select("_row", "doc_id", F.explode_outer(kinds).alias("_of"))
     parts = found.select(
@@ -79,17 +80,27 @@ def _pairs(strings: DataFrame, count: str) -> DataFrame:
 
     Equal strings are counted first, so that the characters of each are read once.
     """
-    at = F.explode(F.sequence(F.lit(1), F.length("string") - 1))
+    at = F.explode(F.sequence(F.lit(1), F.length("piece") - 1))
+    counted = strings.groupBy("string").agg(F.count("*").alias("_times"))
     return (
-        strings.where("length(string) > 1")
-        .groupBy("string")
-        .agg(F.count("*").alias("_times"))
-        .select("string", "_times", at.alias("_at"))
-        .groupBy(F.substring("string", F.col("_at"), F.lit(2)).alias("pair"))
+        _pieces(counted, "_times")
+        .select("_times", "piece", at.alias("_at"))
+        .groupBy(F.substring("piece", F.col("_at"), F.lit(2)).alias("pair"))
         .agg(F.sum("_times").alias(count))
     )
 
 
+def _pieces(strings: DataFrame, *columns: str) -> DataFrame:
+    """Strings in pieces of at most 64 characters and the one after, so no pair is missed.
+
+    A character is found by counting from the start, so that reading all pairs of a
+    long string at once would take the square of its length.
+    """
+    cut = F.regexp_extract_all("string", F.lit("(?s)(?=(.{1,65})).{1,64}"), F.lit(1))
+    pieces = strings.select(*columns, F.explode(cut).alias("piece"))
+    return pieces.where("length(piece) > 1")
+
+
 def train(random: DataFrame, ordinary: DataFrame) -> DataFrame:
     """Log-likelihood ratio of each pair of neighbours, from labelled strings (column ``string``).
 
@@ -125,11 +136,11 @@ def train(random: DataFrame, ordinary: DataFrame) -> DataFrame:
 
 def scores(strings: DataFrame, model: DataFrame, keys: list[str]) -> DataFrame:
     """Mean ratio of the pairs of each string; a pair whose first character is new counts 0."""
-    at = F.explode(F.sequence(F.lit(1), F.length("string") - 1))
-    pairs = strings.select(*keys, "string", at.alias("_at")).select(
+    at = F.explode(F.sequence(F.lit(1), F.length("piece") - 1))
+    pairs = _pieces(strings, *keys).select(*keys, "piece", at.alias("_at")).select(
         *keys,
-        F.substring("string", F.col("_at"), F.lit(2)).alias("pair"),
-        F.substring("string", F.col("_at"), F.lit(1)).alias("_first"),
+        F.substring("piece", F.col("_at"), F.lit(2)).alias("pair"),
+        F.substring("piece", F.col("_at"), F.lit(1)).alias("_first"),
     )
     # The model has a row for each pair of the alphabet's characters at most.
     seen = F.broadcast(model.where("length(pair) = 2"))
@@ -156,16 +167,19 @@ def ordinary_identifiers(documents: DataFrame) -> DataFrame:
     return documents.where(plain).select(words.alias("string"))
 
 
-def secret_spans(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def secret_spans(
+    documents: DataFrame, threshold: float = THRESHOLD, row: str | None = None
+) -> DataFrame:
     """All spans of all documents: ``_row, doc_id, kind, start, end, secret``; nulls where none.
 
     Base spans come from the fixed patterns. The model's labelled samples are the
     secrets in them and ordinary identifiers; it adds runs of key characters that it
     takes for random and that no base span touches. Without a base span anywhere
     there is nothing to learn from and nothing is added. A null text is empty;
-    repeated rows are scanned each; other columns are not read.
+    repeated rows are scanned each; other columns are not read, but for ``row`` if it
+    names the column that numbers the documents.
     """
-    found = stored(matches(documents, BASE | {"markov": CANDIDATE}), "matches")
+    found = stored(matches(documents, BASE | {"markov": CANDIDATE}, row), "matches")
     # Before short assignments go: a document may have nothing else.
     rows = found.select("_row", "doc_id").distinct()
     assigned = F.regexp_extract("match", ASSIGN, 1)
@@ -243,8 +257,9 @@ def without_secrets(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     of the new text.
     """
     names = docs.columns
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    spans = secret_spans(docs).where("kind is not null")
+    row = free_name(docs, "_row")
+    rows = numbered(docs, row)
+    spans = secret_spans(rows, row=row).where("kind is not null")
     spans = spans.withColumn("start", F.col("end") - F.length("secret"))
     # Overlapping spans form one: a new one starts where all before have ended.
     in_order = Window.partitionBy("_row").orderBy("start", "end")
@@ -275,7 +290,8 @@ def without_secrets(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(
         F.concat(head, F.concat_ws("", pieces))
     )
-    changed = rows.join(stored(marked, "marked"), "_row", "left").withColumn("text", text)
+    marked = stored(marked.withColumnRenamed("_row", row), "marked")
+    changed = rows.join(marked, row, "left").withColumn("text", text)
     if "n_chars" in names:
         own = F.length("text").cast(docs.schema["n_chars"].dataType)
         changed = changed.withColumn(

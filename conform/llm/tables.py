@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +25,39 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, name: str = "row") -> DataFrame:
+    """Rows with a number of their own that every job deals out alike.
+
+    Rows read from files are numbered by their file, in the order of the paths, and their
+    place there, however many tasks read them; nothing is written but the files' names,
+    which also reach every task. Other rows are numbered once and written down.
+    """
+    path, index, number = (free_name(df, f"_{name}_{part}") for part in ("path", "at", "file"))
+    try:
+        located = df.select(
+            "*",
+            F.col("_metadata.file_path").alias(path),
+            F.col("_metadata.row_index").alias(index),
+        )
+        located.schema  # noqa: B018 - asks Spark whether the rows come from files
+    except AnalysisException:
+        return stored(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    order = Window.orderBy(path)
+    files = located.select(path).distinct()
+    files = files.select(path, (F.row_number().over(order) - 1).cast("long").alias(number))
+    # A row for each file, of which the driver has a list anyway.
+    rows = located.join(F.broadcast(stored(files, "files")), path)
+    return rows.select(*df.columns, (F.shiftleft(number, 40) + F.col(index)).alias(name))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A name that no column has, made of the given one."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = f"{name}_"
+    return name
+
+
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
