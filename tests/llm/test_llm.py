@@ -367,3 +367,99 @@ def test_pipeline_keeps_clean_documents(spark, folder):
         assert docs.columns == SCHEMA.replace(",", "").split()[::2], name
         docs = corpus_pipeline.stored(docs, "stage")
     assert [r.doc_id for r in docs.orderBy("doc_id").collect()] == [0, 2, 3, 5, 9, 10, 11, 12, 13, 14, 15]
+
+
+def brute_force_repeats(texts, length=100):
+    """Bytes covered by a string that also starts earlier, document by document."""
+    seen, out = set(), []
+    for text in texts:
+        data = (text or "").encode()
+        covered = np.zeros(len(data) + 1, bool)
+        for at in range(len(data) - length + 1):
+            piece = data[at : at + length]
+            if piece in seen:
+                covered[at : at + length] = True
+            seen.add(piece)
+        covered = covered[: len(data)]
+        edges = int(covered[:1].sum()) + int((covered[1:] & ~covered[:-1]).sum())
+        rest = bytes(np.frombuffer(data, np.uint8)[~covered])
+        out.append((len(data), int(covered.sum()), edges, hashlib.sha256(rest).hexdigest()))
+    return out
+
+
+def test_repeats_of_anchors_with_many_texts(spark):
+    """Phrases of all lengths that hundreds of texts share, each with other words around."""
+    draw = np.random.default_rng(7)
+
+    def noise(size):
+        return "".join(chr(97 + c) for c in draw.integers(0, 26, size))
+
+    phrases = [noise(n) for n in (40, 70, 90, 98, 99, 100, 101, 130, 200)]
+    tails = [noise(60) for _ in range(4)]
+    texts = []
+    for number in range(900):
+        phrase = phrases[number % len(phrases)]
+        tail = tails[draw.integers(4)] if number % 2 else noise(60)
+        texts.append(noise(60) + phrase + tail)
+    texts += ["ab" * 400, "ab" * 300 + "c", None, "", "x" * 99, "y" * 350] * 2
+    rows = [(i, t) for i, t in enumerate(texts)]
+    from conform.llm.repeats import document_repeats
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    found = sorted(map(tuple, document_repeats(docs).collect()))
+    assert [r[1:] for r in found] == brute_force_repeats(texts)
+
+
+def test_rows_keep_their_numbers_in_every_job(spark, tmp_path):
+    from conform.llm.tables import numbered
+
+    path = str(tmp_path / "many")
+    draw = spark.range(4000).select("id", F.rand(3).alias("x"), F.lit("own").alias("_path"))
+    draw.repartition(13).write.parquet(path)
+    kept = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None)
+    seen = []
+    try:
+        for tasks in ("2", "29"):
+            spark.conf.set("spark.sql.leafNodeDefaultParallelism", tasks)
+            rows = numbered(spark.read.parquet(path).drop("_path"))
+            seen.append({r["id"]: r["row"] for r in rows.collect()})
+    finally:
+        if kept is None:
+            spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+    assert seen[0] == seen[1] and len(set(seen[0].values())) == 4000
+    made = numbered(spark.range(50).repartition(7).withColumn("y", F.rand()), "number")
+    assert made.collect() == made.collect()
+    assert len({r["number"] for r in made.collect()}) == 50
+
+
+def test_pairs_of_long_runs_are_read_in_pieces(spark):
+    """All pairs of a run, at the edges of pieces too, in time that grows with its length."""
+    from conform.llm.secrets import _pairs, scores
+
+    draw = np.random.default_rng(1)
+    runs = ["".join(draw.choice(list("abcd"), n)) for n in (1, 2, 63, 64, 65, 66, 129, 500)]
+    runs += [runs[-1], "é\U0001f600x", "ab" * 500_000]
+    strings = spark.createDataFrame([(i, r) for i, r in enumerate(runs)], "k long, string string")
+    expected = Counter(r[i : i + 2] for r in runs for i in range(len(r) - 1))
+    found = {r["pair"]: r["n"] for r in _pairs(strings, "n").collect()}
+    assert found == expected
+    model = spark.createDataFrame([("ab", 1.0), ("ba", 0.5), ("b", -1.0)], "pair string, ratio double")
+    ratio = {"ab": 1.0, "ba": 0.5}
+    for row in scores(strings, model, ["k"]).collect():
+        run = runs[row["k"]]
+        pairs = [ratio.get(run[i : i + 2], -1.0 if run[i] == "b" else 0.0) for i in range(len(run) - 1)]
+        assert abs(row["score"] - sum(pairs) / len(pairs)) < 1e-9
+
+
+def test_stages_keep_columns_with_names_of_their_own(spark, folder, tmp_path):
+    from conform.llm.ngram_join import without_similar
+    from conform.llm.secrets import without_secrets
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = docs.withColumns({"_row": F.lit("own"), "_at": F.lit("own"), "_path": F.lit("own")})
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    for stage in (without_similar, without_secrets):
+        kept = stage(docs)
+        assert kept.columns == docs.columns
+        assert {tuple(r) for r in kept.select("_row", "_at", "_path").collect()} == {("own",) * 3}
