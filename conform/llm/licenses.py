@@ -79,7 +79,9 @@ TELLING = {
     *"bsd-style by by-nc by-sa endorse fee gnu isc lesser mit mozilla sublicense".split(),
     *"third-parties unencumbered unlicense".split(),
 }
-TRIGGER = re.compile(r"licen[sc]e|copyright|creative\s+commons|public\s+domain|spdx", re.I)
+TRIGGER = re.compile(
+    r"licen[sc]e|copyright|creative\s+commons|\bcc\s+by\b|public\s+domain|spdx", re.I
+)
 #: A sentence ends before a blank and a capital, or with its line.
 SENTENCE_END = re.compile(r"(?<=[.!?])\s+(?=[^\W\d_a-z])|\n+")
 #: Blocks end at lines without a letter or digit, which in comments hold marks.
@@ -128,9 +130,22 @@ WORDINGS = [
 ]
 
 
+#: Words that a match can have at most, and so what a candidate needs around its trigger.
+WIDEST = max(len(words) + int(MOST_OTHERS * len(words)) for words, _ in WORDINGS)
+#: Candidates that lie close are one, up to so many words; longer ones share WIDEST words.
+STRETCH = 4 * WIDEST
+#: Words around a winner's place that are ranked with it once more.
+MARGIN = 3
+
+
 @lru_cache(maxsize=1)
 def _compressor() -> zstandard.ZstdCompressor:
-    return zstandard.ZstdCompressor(level=19, write_content_size=False)
+    return zstandard.ZstdCompressor(level=9, write_content_size=False)
+
+
+@lru_cache(maxsize=1 << 4)
+def _plain_size(block: str) -> int:
+    return len(_compressor().compress(block.encode()))
 
 
 @lru_cache(maxsize=len(TEMPLATES))
@@ -139,7 +154,7 @@ def _with_template(number: int) -> zstandard.ZstdCompressor:
     words = zstandard.ZstdCompressionDict(
         TEMPLATES[number][1].encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT
     )
-    return zstandard.ZstdCompressor(level=19, dict_data=words, write_content_size=False)
+    return zstandard.ZstdCompressor(level=9, dict_data=words, write_content_size=False)
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
@@ -157,8 +172,14 @@ def candidates(text: str) -> list[tuple[int, int]]:
 
 def reduction(block: str, number: int) -> float:
     """By how much a template shrinks the compressed block."""
-    data = block.encode()
-    return 1 - len(_with_template(number).compress(data)) / len(_compressor().compress(data))
+    return 1 - len(_with_template(number).compress(block.encode())) / _plain_size(block)
+
+
+@lru_cache(maxsize=1 << 12)
+def ranking(block: str) -> list[int]:
+    """Templates that shrink the compressed block, from the one that shrinks it most."""
+    shrunk = [(reduction(block, number), -number) for number in range(len(TEMPLATES))]
+    return [-number for share, number in sorted(shrunk, reverse=True) if share > 0]
 
 
 @lru_cache(maxsize=1 << 14)
@@ -186,54 +207,128 @@ def _extended(wanted: tuple[str, ...], found: tuple[str, ...]) -> tuple[list, li
     return lacking[::-1], besides[::-1], used
 
 
-def matches(words: list[str]) -> list[tuple[int, int, int, list[str], list[str]]]:
-    """First and last word, template, words lacking and besides of each match; they may overlap.
+def matches(words: list[str], number: int) -> list[tuple[int, int, list[str], list[str]]]:
+    """First and last word, words lacking and besides of a template's matches, apart.
 
-    Every template is laid along the words from each place of one of its telling
+    The template is laid along the words from each place of one of its telling
     words, to both sides; what is before its first word and after its last is not judged.
+    Of places that share words the one with least differences stands, then the first.
     """
-    places: dict[str, list[int]] = {}
+    wanted, telling = WORDINGS[number]
+    places: dict[str, list[int]] = {wanted[i]: [] for i in telling}
     for at, word in enumerate(words):
-        places.setdefault(word, []).append(at)
+        if word in places:
+            places[word].append(at)
+    if not all(places.values()):
+        return []
+    anchor = min(telling, key=lambda i: len(places[wanted[i]]))
+    most_lacking = int((1 - LEAST_WORDS) * len(wanted) + 1e-9)
+    most_besides = int(MOST_OTHERS * len(wanted))
     found = []
-    for number, (wanted, telling) in enumerate(WORDINGS):
-        if not all(wanted[i] in places for i in telling):
+    for at in places[wanted[anchor]]:
+        before = words[max(0, at - anchor - most_besides) : at]
+        after = words[at + 1 : at + len(wanted) - anchor + most_besides]
+        near = Counter([*before, words[at], *after])
+        if (Counter(wanted) - near).total() > most_lacking:
             continue
-        anchor = min(telling, key=lambda i: len(places[wanted[i]]))
-        most_lacking = int((1 - LEAST_WORDS) * len(wanted) + 1e-9)
-        most_besides = int(MOST_OTHERS * len(wanted))
-        for at in places[wanted[anchor]]:
-            before = words[max(0, at - anchor - most_besides) : at]
-            after = words[at + 1 : at + len(wanted) - anchor + most_besides]
-            near = Counter([*before, words[at], *after])
-            if (Counter(wanted) - near).total() > most_lacking:
-                continue
-            left_lacking, left_besides, left = _extended(
-                tuple(wanted[:anchor][::-1]), tuple(before[::-1])
-            )
-            lacking, besides, right = _extended(tuple(wanted[anchor + 1 :]), tuple(after))
-            lacking = left_lacking[::-1] + lacking
-            besides = left_besides[::-1] + besides
-            if (
-                len(lacking) <= most_lacking
-                and len(besides) <= most_besides
-                and not any(wanted[i] in lacking for i in telling)
-            ):
-                found.append((at - left, at + right, number, lacking, besides))
+        left_lacking, left_besides, left = _extended(
+            tuple(wanted[:anchor][::-1]), tuple(before[::-1])
+        )
+        lacking, besides, right = _extended(tuple(wanted[anchor + 1 :]), tuple(after))
+        lacking = left_lacking[::-1] + lacking
+        besides = left_besides[::-1] + besides
+        if (
+            len(lacking) <= most_lacking
+            and len(besides) <= most_besides
+            and not any(wanted[i] in lacking for i in telling)
+        ):
+            found.append((len(lacking) + len(besides), at - left, at + right, lacking, besides))
+    return _apart(sorted(found))
+
+
+def _apart(ranked: list[tuple]) -> list[tuple]:
+    """Of matches from the best on, those without a word of a better one, in the text's order."""
+    taken: set[int] = set()
+    chosen = []
+    for _, first, last, *rest in ranked:
+        if taken.isdisjoint(range(first, last + 1)):
+            taken.update(range(first, last + 1))
+            chosen.append((first, last, *rest))
+    return sorted(chosen, key=lambda match: match[0])
+
+
+def windows(text: str, spots: list[tuple[int, int]], start: int, end: int) -> list[tuple[int, int]]:
+    """Candidate blocks of a paragraph, as first word and word after the last.
+
+    Each trigger takes the words around it that a match could have; blocks that meet
+    are one, and one of more than STRETCH words is dealt out in several that share as
+    many words as a match can have.
+    """
+    ends = [b for _, b in spots]
+    found: list[list[int]] = []
+    for trigger in TRIGGER.finditer(text, start, end):
+        at = bisect_right(ends, trigger.start())
+        first, last = max(0, at - WIDEST), min(len(spots), at + WIDEST)
+        if found and first <= found[-1][1]:
+            found[-1][1] = last
+        else:
+            found.append([first, last])
+    return [
+        (at, min(at + STRETCH, last))
+        for first, last in found
+        for at in range(first, max(first + 1, last - WIDEST), STRETCH - WIDEST)
+    ]
+
+
+def confirmed(
+    text: str, spots: list[tuple[int, int]], words: list[str], first: int, last: int
+) -> list[tuple[int, int, int, list[str], list[str]]]:
+    """First and last word, template, words lacking and besides of the notices in a block.
+
+    The block is compressed with every template; the ranking by size reduction is gone
+    down until the exact wording confirms a template. As a block may hold several
+    notices, each place of this winner is ranked again by itself. The words before,
+    between and after are blocks of their own if they have a trigger.
+    """
+
+    def winner(first, last):
+        block = text[spots[first][0] : spots[last - 1][1]] if first < last else ""
+        for number in ranking(block) if TRIGGER.search(block) else ():
+            held = matches(words[first:last], number)
+            if held:
+                return [(first + a, first + b, number, *told) for a, b, *told in held]
+        return []
+
+    found, blocks = [], [(first, last)]
+    while blocks:
+        first, last = blocks.pop()
+        left = first
+        for match in winner(first, last):
+            near = max(first, match[0] - MARGIN), min(last, match[1] + 1 + MARGIN)
+            found += (winner(*near) if near != (first, last) else []) or [match]
+            blocks.append((left, match[0]))
+            left = match[1] + 1
+        if left > first:
+            blocks.append((left, last))
     return found
 
 
 def notices(text: str) -> list[tuple[int, int, str, float, str]]:
     """Start, end, license, size reduction and wording differences of each confirmed notice.
 
-    A notice is the sentences or lines that a match touches. Of matches that share
-    words the one with most words of its template and least differences stands, then
-    the one whose template shrinks the notice most.
+    A notice is the sentences or lines that a match touches, its reduction that of
+    them by the template. Of matches from two stretches of one block that share words
+    the longer one stands.
     """
     found = []
     for start, end in candidates(text):
         spots = [(m.start(), m.end()) for m in WORD.finditer(text, start, end)]
-        matched = matches([_word(text[a:b]) for a, b in spots])
+        words = [_word(text[a:b]) for a, b in spots]
+        matched = [
+            (first - last, first, last, number, lacking, besides)
+            for left, right in windows(text, spots, start, end)
+            for first, last, number, lacking, besides in confirmed(text, spots, words, left, right)
+        ]
         if not matched:
             continue
         starts, stops = [start], []
@@ -241,25 +336,12 @@ def notices(text: str) -> list[tuple[int, int, str, float, str]]:
             stops.append(gap.start())
             starts.append(gap.end())
         stops.append(end)
-        ranked, shrinks = [], {}
-        for first, last, number, lacking, besides in matched:
+        for first, last, number, lacking, besides in _apart(sorted(matched)):
             here = starts[bisect_right(starts, spots[first][0]) - 1]
             there = stops[bisect_left(stops, spots[last][1])]
-            key = (here, there, number)
-            if key not in shrinks:
-                shrinks[key] = reduction(text[here:there], number)
-            shrunk = shrinks[key]
-            score = len(WORDINGS[number][0]) - 2 * len(lacking) - len(besides)
             told = " ".join([*(f"-{w}" for w in lacking), *(f"+{w}" for w in besides)])
-            notice = (here, there, TEMPLATES[number][0], shrunk, told)
-            ranked.append((-score, -shrunk, first, last, notice))
-        taken: set[int] = set()
-        chosen = []
-        for _, _, first, last, notice in sorted(ranked):
-            if taken.isdisjoint(range(first, last + 1)):
-                taken.update(range(first, last + 1))
-                chosen.append((first, notice))
-        found += [notice for _, notice in sorted(chosen)]
+            shrunk = reduction(text[here:there], number)
+            found.append((here, there, TEMPLATES[number][0], shrunk, told))
     return found
 
 

@@ -346,6 +346,41 @@ def test_notices_within_sentences_and_over_lines():
     assert set(HEADERS) <= {name for name, _ in TEMPLATES}
 
 
+def test_the_size_reduction_decides_which_license_is_confirmed(monkeypatch):
+    from conform.llm import licenses
+
+    text = "Licensed under the GNU Lesser General Public License, version 3."
+    assert [n[2] for n in notices(text)] == ["LGPL-3.0"]
+    # The wording alone would confirm the shorter name as well.
+    licenses.ranking.cache_clear()
+    monkeypatch.setattr(licenses, "reduction", lambda block, number: 0.5)
+    assert [(n[2], n[4]) for n in notices(text)] == [("GPL-3.0", "+lesser")]
+    licenses.ranking.cache_clear()
+    monkeypatch.setattr(licenses, "reduction", lambda block, number: 0.0)
+    assert notices(text) == []
+    licenses.ranking.cache_clear()
+
+
+def test_notices_in_long_paragraphs_are_found_at_their_places():
+    from conform.llm.licenses import STRETCH, TEMPLATES, WIDEST
+
+    planted, words = [], 0
+    lines = []
+    for number, (name, text) in enumerate(TEMPLATES * 2):
+        # Triggers lie so close that the paragraph is one block of many stretches.
+        fill = [f"wort{number}x{i}" for i in range(number * 7 % WIDEST)]
+        lines.append(" ".join([*fill, "copyright", *fill[:9]]) + ".")
+        lines.append(text)
+        planted.append(name)
+        words += len(fill) + len(text.split())
+    paragraph = "\n".join(lines)
+    assert words > 20 * STRETCH
+    found = notices(paragraph)
+    assert [n[2] for n in found] == planted and {n[4] for n in found} == {""}
+    for (start, end, *_), (_, text) in zip(found, TEMPLATES * 2, strict=True):
+        assert paragraph[start:end] in text or text in paragraph[start:end]
+
+
 def test_fingerprints(spark, folder):
     found = rows(spark, "op10_fingerprints", folder)
     for i, r in enumerate(found):
