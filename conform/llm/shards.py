@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from conform.llm.tables import ordered
+from conform.llm.tables import free_name, ordered
 
 
 def balanced_shards(
@@ -18,11 +18,15 @@ def balanced_shards(
     goes where its middle byte lies: a shard misses its target by one row's size at
     most, whatever the number of rows. Sizes must not be negative; where all are 0
     every row goes to shard 0. Rows with a null key come first, repeated rows lie
-    side by side, an empty table gives an empty one. Clashing columns named ``place``,
-    ``places``, ``before``, ``total``, ``shard`` or ``slot`` must be renamed first.
+    side by side, an empty table gives an empty one. Columns of any name are kept; if
+    one is named ``shard`` or ``slot``, the new one gets a ``_`` behind its name.
     """
-    rows = ordered(df, keys, size)
-    middle = (2 * F.col("before") + F.col(size)) * F.lit(shards)
+    # Within, columns go by their places, so that no name meets those of the steps.
+    inner = {name.lower(): f"_column_{i}" for i, name in enumerate(df.columns)}
+    measured = inner[size.lower()]
+    rows = df.toDF(*inner.values())
+    rows = ordered(rows, [inner[key.lower()] for key in keys], measured)
+    middle = (2 * F.col("before") + F.col(measured)) * F.lit(shards)
     cut = F.when(
         F.col("total") > 0,
         F.least(F.expr("_middle div (2 * total)"), F.lit(shards - 1)),
@@ -31,7 +35,11 @@ def balanced_shards(
     first = rows.groupBy(F.col("shard").alias("_shard")).agg(F.min("place").alias("_first"))
     # One row for each shard.
     rows = rows.join(F.broadcast(first), F.col("shard") == F.col("_shard"))
-    return rows.select(*df.columns, "shard", (F.col("place") - F.col("_first")).alias("slot"))
+    return rows.select(
+        *(F.col(inner[name.lower()]).alias(name) for name in df.columns),
+        F.col("shard").alias(free_name(df, "shard")),
+        (F.col("place") - F.col("_first")).alias(free_name(df, "slot")),
+    )
 
 
 def document_shards(documents: DataFrame, shards: int = 8) -> DataFrame:
