@@ -20,6 +20,7 @@ from conform.llm.exact_dedup import duplicates
 from conform.llm.licenses import notices
 from conform.llm.packing import least_bins, pack, tokens
 from conform.llm.repeats import previous_factors, repeated, suffix_order
+from conform.llm.shards import balanced_shards
 from conform.llm.toxicity import GRADES, features, fit
 from tests.oracle import connect, differences
 
@@ -312,6 +313,31 @@ def test_shards(spark, folder):
         assert [r["slot"] for r in found if r["shard"] == shard] == list(range(shards.count(shard)))
 
 
+def test_shards_have_nearly_equal_bytes(spark, sf_dir):
+    found = QUERIES["op8_sharding"](spark, sf_dir).collect()
+    sizes = Counter()
+    for r in found:
+        sizes[r["shard"]] += r["size"]
+    goal, largest = sum(sizes.values()) / 8, max(r["size"] for r in found)
+    assert sorted(sizes) == list(range(8))
+    assert all(abs(size - goal) <= largest for size in sizes.values())
+
+
+def test_shards_keep_columns_of_any_name(spark):
+    names = ["doc_id", "place", "places", "before", "total", "_part", "_inside", "shard", "Slot"]
+    table = spark.createDataFrame(
+        [(i, *[f"{n}{i}" for n in names[1:]], 1 + i % 3) for i in range(40)],
+        [*names, "size"],
+    )
+    found = balanced_shards(table, ["doc_id"], "SIZE", 4).orderBy("doc_id").collect()
+    assert found[0].__fields__ == [*names, "size", "shard_", "slot_"]
+    assert [r[:10] for r in found] == [tuple(r) for r in table.collect()]
+    shards = [r["shard_"] for r in found]
+    assert shards == sorted(shards) and set(shards) == set(range(4))
+    for shard in range(4):
+        assert [r["slot_"] for r in found if r["shard_"] == shard] == list(range(shards.count(shard)))
+
+
 def test_licenses(spark, folder):
     found = rows(spark, "op9_licenses", folder)
     assert found[14]["licenses"] == "MIT" and found[14]["spans"] == "MIT:0:31"
@@ -395,6 +421,29 @@ def test_fingerprints(spark, folder):
     assert found[5]["near_next"] > 0.7 > found[10]["near_next"]
 
 
+def test_likeness_is_near_the_generalised_jaccard_similarity(spark, sf_dir):
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    texts = {r["doc_id"]: r["text"] or "" for r in documents.collect()}
+    ids = sorted(texts)
+    after = dict(zip(ids, [*ids[1:], ids[0]], strict=True))
+
+    def similarity(left, right):
+        counts = [Counter(w for w in re.split("[ \t\n\v\f\r]", t.lower()) if w) for t in (left, right)]
+        most = (counts[0] | counts[1]).total()
+        return (counts[0] & counts[1]).total() / most if most else 1.0
+
+    errors = []
+    for r in QUERIES["op10_fingerprints"](spark, sf_dir).collect():
+        text, following = texts[r["doc_id"]], texts[after[r["doc_id"]]]
+        cut = len(text) // 4
+        edited = text[: len(text) - cut] + following[:cut]
+        errors.append(r["near_edited"] - similarity(text, edited))
+        errors.append(r["near_next"] - similarity(text, following))
+    assert len(errors) == 2 * len(ids)
+    # The standard error of 32 samples is at most 0.088.
+    assert np.sqrt(np.mean(np.square(errors))) < 0.09 and abs(np.mean(errors)) < 0.03
+
+
 def test_pipeline_keeps_clean_documents(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
