@@ -101,9 +101,10 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENT
 
     Labels say only yes or no. Grade 0 is no; a toxic document is grade 2 if it has
     more than the usual number of features that lean to toxic ones, else grade 1.
-    A document with several labels counts as toxic if one says so, equal texts count
-    once, and null texts or labels not at all. What reaches the driver is bounded by
-    the sample and the number of features.
+    A document with several labels counts as toxic if one says so, and so do equal
+    texts, which count once; of several texts of one identifier the least counts, and
+    null texts or labels not at all. What reaches the driver is bounded by the sample
+    and the number of features.
     """
     known = (
         labels.where("toxic is not null and doc_id is not null")
@@ -114,7 +115,12 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENT
     )
     # As many rows as the sample has.
     chosen = documents.select("doc_id", "text").where("text is not null")
-    chosen = chosen.join(F.broadcast(known), "doc_id").dropDuplicates(["text"])
+    chosen = chosen.join(F.broadcast(known), "doc_id")
+    chosen = chosen.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    chosen = chosen.groupBy("text").agg(
+        F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic")
+    )
+
     def listed(block):
         rows = [
             (doc_id, toxic, name)

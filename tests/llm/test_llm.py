@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 import tiktoken
@@ -192,6 +193,38 @@ def test_longest_previous_factors():
     assert [list(x) for x in repeated([b"abcdef", b"zabcdx"], 4)] == [[], [1]]
 
 
+@pytest.mark.parametrize("ordered", [1, 200, 5000])
+def test_anchors_are_put_in_order_whole(monkeypatch, ordered):
+    from conform.llm import repeats
+
+    monkeypatch.setattr(repeats, "ORDERED", ordered)
+    draw = np.random.default_rng(ordered)
+    anchor = np.sort(draw.integers(0, 30, 400))
+    rows = pa.table({"anchor": anchor, "size": draw.integers(1, 169, 400), "at": np.arange(400)})
+    for batch in (1, 7, 400):
+        found = list(repeats._whole_anchors(rows.to_batches(max_chunksize=batch)))
+        assert [x for t in found for x in t.column("at").to_pylist()] == list(range(400))
+        # No anchor is in two tables.
+        assert sum(len(t.column("anchor").unique()) for t in found) == len(set(anchor))
+    assert list(repeats._whole_anchors([])) == []
+
+
+@pytest.mark.parametrize("length", [1, 2, 5, 8])
+def test_repeated_stretches_of_short_texts(length):
+    draw = np.random.default_rng(length)
+    for _ in range(100):
+        texts = [draw.integers(97, 99, draw.integers(0, 30), np.uint8).tobytes() for _ in range(5)]
+        seen, wanted = set(), []
+        for text in texts:
+            stretches = [text[i : i + length] for i in range(len(text) - length + 1)]
+            wanted.append([])
+            for i, stretch in enumerate(stretches):
+                if stretch in seen:
+                    wanted[-1].append(i)
+                seen.add(stretch)
+        assert [x.tolist() for x in repeated(texts, length)] == wanted
+
+
 def test_toxicity_orders_grades():
     names = ["bad", "worse", "plain"]
     data = [[0], [0, 1], [2], [], [0], [0, 1], [2]] * 20
@@ -217,6 +250,20 @@ def test_toxicity_on_rows_kept_back(spark):
     assert found.said[found.toxic == 0].mean() < 0.01
 
 
+def test_equal_texts_and_repeated_identifiers_with_labels(spark, monkeypatch):
+    from conform.llm import toxicity
+
+    monkeypatch.setattr(toxicity, "fit", lambda rows, grades, names: (rows, grades, names))
+    texts = [(1, "gleich"), (2, "gleich"), (3, "anders"), (4, "y"), (4, "x"), (4, None), (None, "z")]
+    labels = [(1, 0), (2, 1), (3, 0), (4, 0), (None, 1), (9, 1)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame(labels, "doc_id long, toxic long")
+    for parts in (1, 5):
+        found = toxicity.train(docs.repartition(parts), labels.repartition(parts))
+        # Rows in order: 1 and 2 together, 3, and one text of 4.
+        assert found == ([[], [], []], [1, 0, 0], [])
+
+
 def test_secrets(spark, folder):
     found = rows(spark, "op5_secrets", folder)
     assert [(r["n_assign"], r["n_access"], r["n_hex"]) for r in found[12:14]] == [(1, 1, 0), (1, 0, 1)]
