@@ -82,6 +82,33 @@ def test_ingest(spark, inputs):
     assert others == [(None, "Inactivo", "Maestro"), ("paz@x.co", "Unknown", "N/A")]
 
 
+def test_ingest_streams_clients_past_products(spark, inputs, monkeypatch, capsys):
+    from conform.plans import clients
+
+    lines = [f"{n}|1|Ana|a@x.co|Cali|{n}|02/03/2018|{n % 100}\r\n" for n in range(4000)]
+    (inputs / "ods_clientes_2018.csv").write_text(CLIENTS + "".join(lines), newline="")
+    lines = [f"{n % 100};Ahorros;1/01/2010;{n % 3}\r\n" for n in range(200)]
+    (inputs / "productos.csv").write_text(PRODUCTS + "".join(lines), newline="")
+    plans, write = [], clients.write_partitioned
+
+    def explained(df, *args, **more):
+        capsys.readouterr()
+        df.explain()
+        plans.append(capsys.readouterr().out)
+        return write(df, *args, **more)
+
+    monkeypatch.setattr(clients, "write_partitioned", explained)
+    paths = (f"{inputs}/ods_clientes_2018.csv", f"{inputs}/codigos.csv", f"{inputs}/productos.csv")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2KB")
+    try:
+        rows = ingest(spark, *paths, str(inputs / "output"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows == 8000
+    assert "ShuffledHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]
+    assert spark.conf.get("spark.sql.join.preferSortMergeJoin", None) is None
+
+
 def test_ingest_sets_lines_that_do_not_fit_aside(spark, inputs):
     (inputs / "productos.csv").write_bytes(
         (PRODUCTS + "1;Ahorros;1/01/2010;1\r\ntwo;CDT;2/01/2010;0\r\n3;Otro\r\n").encode()

@@ -3,6 +3,7 @@ from __future__ import annotations
 import uuid
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from conform.operators import vault_delta
@@ -50,6 +51,37 @@ def test_write_partitioned(spark, tmp_path):
         assert tuples(spark.read.parquet(str(out))) == [(1, "N/A"), (2, "Maestro"), (3, "Maestro")]
 
 
+def test_partitioned_writes_keep_files_open_instead_of_sorting(spark, tmp_path):
+    name, out = "spark.sql.maxConcurrentOutputFileWriters", str(tmp_path / "out")
+    seen = F.udf(lambda _: TaskContext.get().getLocalProperty(name))
+    rows = spark.range(0, 300, 1, 2).withColumn("writers", seen("id"))
+    for routes in (3, 20):
+        routed = rows.withColumn("route", F.col("id") % routes)
+        for write in (
+            lambda: write_partitioned(routed, out, ["route"], cluster=False),
+            lambda: overwrite_partitions(routed, out, ["route"]),
+        ):
+            assert write() == 300
+            written = spark.read.parquet(out)
+            assert [tuple(r) for r in written.select("writers").distinct().collect()] == [("4",)]
+            pairs = written.orderBy("id").select("id", "route").collect()
+            assert [tuple(r) for r in pairs] == [(n, n % routes) for n in range(300)]
+    assert spark.conf.get(name, None) is None
+
+
+def test_a_number_of_writers_that_the_session_has_stays(spark, tmp_path):
+    name, out = "spark.sql.maxConcurrentOutputFileWriters", str(tmp_path / "out")
+    seen = F.udf(lambda _: TaskContext.get().getLocalProperty(name))
+    rows = spark.range(5).withColumn("writers", seen("id")).withColumn("route", F.lit(1))
+    spark.conf.set(name, "7")
+    try:
+        write_partitioned(rows, out, ["route"])
+        assert spark.conf.get(name) == "7"
+    finally:
+        spark.conf.unset(name)
+    assert spark.read.parquet(out).first()["writers"] == "7"
+
+
 def test_overwriting_replaces_everything_or_only_some_partitions(spark, df, tmp_path):
     out = str(tmp_path / "out")
     write_partitioned(df, out, ["city"])
