@@ -541,6 +541,41 @@ def test_repeats_of_anchors_with_many_texts(spark):
     assert [r[1:] for r in found] == brute_force_repeats(texts)
 
 
+@pytest.mark.parametrize("ordered", [1 << 18, 1 << 13, 1])
+def test_anchors_are_cut_finer_only_beyond_one_suffix_order(spark, monkeypatch, ordered):
+    from conform.llm import repeats
+
+    draw = np.random.default_rng(11)
+
+    def noise(size):
+        return "".join(chr(97 + c) for c in draw.integers(0, 26, size))
+
+    phrases, tails = [noise(n) for n in (90, 99, 130)], [noise(60) for _ in range(3)]
+    made, store = {}, repeats.stored
+
+    def counted(df, name):
+        out = store(df, name)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(repeats, "stored", counted)
+    monkeypatch.setattr(repeats, "ORDERED", ordered)
+    for count in (150, 600):
+        made.clear()
+        texts = [
+            noise(60) + phrases[n % 3] + (tails[n % 5 % 3] if n % 2 else noise(60))
+            for n in range(count)
+        ]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        found = sorted(map(tuple, repeats.document_repeats(docs.repartition(4)).collect()))
+        assert [r[1:] for r in found] == brute_force_repeats(texts)
+        pieces = [rows for name, rows in made.items() if name.startswith("pieces")]
+        # Hundreds of texts of one anchor are 256 KB at most, and are not cut at all.
+        assert bool(pieces) == (ordered < 1 << 18)
+        # A stretch is in one piece of its text, whatever its anchor's others are.
+        assert all(rows <= 69 * made["compared"] for rows in pieces)
+
+
 def test_rows_keep_their_numbers_in_every_job(spark, tmp_path):
     from conform.llm.tables import numbered
 
