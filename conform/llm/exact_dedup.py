@@ -46,6 +46,9 @@ def seen_digests(
     session.conf.set("spark.sql.streaming.stateStore.providerClass", DISK_STORE)
     # Many small stores: no space set aside before it is needed.
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
+    # A task closes its store when it is done, so that an executor holds as many as it
+    # has cores, and not its share of all partitions until the next clean-up.
+    session.conf.set("spark.sql.streaming.stateStore.unloadOnCommit", "true")
     parts = "spark.sql.shuffle.partitions"
     session.conf.set(parts, spark.conf.get(parts))
     schema = spark.read.parquet(path).schema

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from conform.llm import ORACLE_SQL, QUERIES
 from conform.llm.byte_bpe import PrefixEncoder
-from conform.llm.exact_dedup import duplicates
+from conform.llm.exact_dedup import duplicates, seen_digests
 from conform.llm.licenses import notices
 from conform.llm.packing import least_bins, pack, tokens
 from conform.llm.repeats import previous_factors, repeated, suffix_order
@@ -349,6 +351,29 @@ def test_exact_dedup(spark, folder):
     assert sorted(map(tuple, weak)) == [e[:4] for e in expected]
 
 
+def open_stores(spark):
+    """Stores of streams that the session's process holds open, by their locks."""
+    descriptors = f"/proc/{spark._jvm.java.lang.ProcessHandle.current().pid()}/fd"
+    found = set()
+    for name in os.listdir(descriptors):
+        try:
+            found.add(os.readlink(f"{descriptors}/{name}"))
+        except OSError:  # closed meanwhile
+            pass
+    return {x for x in found if "StateStore" in x and x.endswith("/LOCK")}
+
+
+def test_a_finished_stream_holds_no_store_open(spark, folder):
+    before = open_stores(spark)
+    state = seen_digests(spark, f"{folder}/documents.parquet")
+    until = time.time() + 10
+    # A task closes its store just after it is counted as done.
+    while (left := open_stores(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert state.agg(F.sum("seen")).first()[0] == len(TEXTS)
+
+
 def test_shards(spark, folder):
     found = rows(spark, "op8_sharding", folder)
     sizes = [len((t or "").encode()) + 1 for t in TEXTS]
